@@ -20,6 +20,8 @@ from ..functions.exprs import key
 # a few columns, so ~1M rows stays in the tens of MB).
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 CONF_KEY = "vodlens.broadcast.maxRows"
+# Optional column of a customer table holding one snapshot per day.
+SNAPSHOT_COL = "SnapshotDate"
 
 
 def max_broadcast_rows(df: DataFrame) -> int:
@@ -53,8 +55,13 @@ def with_customers(df: DataFrame, cus: DataFrame, customer_col: str = "CustomerI
     The log id is converted once to a bigint key so ``'007'`` matches 7, as the
     original comparison of text with a number did.
     """
-    c = cus.select("ID", "Area", "UType")
     f = df.withColumn("_ck", key(customer_col))
+    if SNAPSHOT_COL in cus.columns and "Date" in df.columns:
+        # Dated snapshots (backfills): each day joins its own snapshot.
+        c = cus.select("ID", "Area", "UType", F.col(SNAPSHOT_COL).cast("date").alias("_snap"))
+        cond = (F.col("_ck") == F.col("ID")) & (F.col("Date") == F.col("_snap"))
+        return join_dim(f, c, cond).drop("_ck", "ID", "_snap")
+    c = cus.select("ID", "Area", "UType")
     return join_dim(f, c, F.col("_ck") == F.col("ID")).drop("_ck", "ID")
 
 
