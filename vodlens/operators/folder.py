@@ -1,10 +1,9 @@
 """Folder reports: views, customers and watch time by folder (AG1, AG2, AG9).
 
 Plan shape shared by the customer reports: filter finished views (LogId 52),
-attach folders (broadcast lookup), aggregate to one row per
-(Date, CustomerID, ...) — map-side partial aggregation collapses a hot
-customer before any shuffle — then join customers on that small frame and
-roll up to (Date, Area, UType, ...).
+attach folders (broadcast lookup), attach Area/UType with ``by_customer``
+(broadcast when the customer table is under the bound, else pre-aggregate per
+customer and shuffle-join), then one aggregation to (Date, Area, UType, ...).
 """
 
 from __future__ import annotations
@@ -13,7 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import capped, level, log_is
-from .joins import with_customers, with_folders
+from .joins import by_customer, with_folders
+
+def one():
+    """A count of 1 per row (bigint, so sums never overflow an int)."""
+    return F.lit(1).cast("bigint")
 
 
 def _finished_views(logs: DataFrame, *cols) -> DataFrame:
@@ -23,17 +26,11 @@ def _finished_views(logs: DataFrame, *cols) -> DataFrame:
 def vod_by_folder(logs: DataFrame, cus: DataFrame, listfolder: DataFrame) -> DataFrame:
     """AG1: Date, Area, UType, Folder → TotalViews, TotalCustomers, TotalDuration."""
     v = with_folders(_finished_views(logs, capped().alias("dur")), listfolder)
-    per_cus = v.groupBy("Date", "CustomerID", "Folder").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("dur").alias("dur")
-    )
-    return (
-        with_customers(per_cus, cus)
-        .groupBy("Date", "Area", "UType", "Folder")
-        .agg(
-            F.sum("n").alias("TotalViews"),
-            F.count_distinct("CustomerID").alias("TotalCustomers"),
-            F.round(F.sum("dur"), 2).alias("TotalDuration"),
-        )
+    rows = by_customer(v, cus, ["Date", "CustomerID", "Folder"], {"n": one(), "dur": F.col("dur")})
+    return rows.groupBy("Date", "Area", "UType", "Folder").agg(
+        F.sum("n").alias("TotalViews"),
+        F.count_distinct("CustomerID").alias("TotalCustomers"),
+        F.round(F.sum("dur"), 2).alias("TotalDuration"),
     )
 
 
@@ -44,30 +41,25 @@ def vod_by_folder_level(logs: DataFrame, cus: DataFrame, listfolder: DataFrame)
         capped().alias("dur"),
         level("RealTimePlaying", "ElapsedTimePlaying", "Duration").alias("Level"),
     )
-    per_cus = (
-        with_folders(v, listfolder)
-        .groupBy("Date", "CustomerID", "Level", "Folder")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("dur").alias("dur"))
+    rows = by_customer(
+        with_folders(v, listfolder),
+        cus,
+        ["Date", "CustomerID", "Level", "Folder"],
+        {"n": one(), "dur": F.col("dur")},
     )
-    return (
-        with_customers(per_cus, cus)
-        .groupBy("Date", "Area", "UType", "Level", "Folder")
-        .agg(
-            F.sum("n").alias("TotalViews"),
-            F.count_distinct("CustomerID").alias("TotalCustomers"),
-            F.round(F.sum("dur"), 2).alias("TotalDuration"),
-        )
+    return rows.groupBy("Date", "Area", "UType", "Level", "Folder").agg(
+        F.sum("n").alias("TotalViews"),
+        F.count_distinct("CustomerID").alias("TotalCustomers"),
+        F.round(F.sum("dur"), 2).alias("TotalDuration"),
     )
 
 
 def sessions_by_location(logs: DataFrame, cus: DataFrame, listfolder: DataFrame) -> DataFrame:
     """AG9: Date, Area, UType, Folder → distinct sessions."""
     v = with_folders(_finished_views(logs, "Session"), listfolder)
-    per_cus = v.select("Date", "CustomerID", "Folder", "Session").distinct()
-    return (
-        with_customers(per_cus, cus)
-        .groupBy("Date", "Area", "UType", "Folder")
-        .agg(F.count_distinct("Session").alias("TotalSession"))
+    rows = by_customer(v, cus, ["Date", "CustomerID", "Folder", "Session"])
+    return rows.groupBy("Date", "Area", "UType", "Folder").agg(
+        F.count_distinct("Session").alias("TotalSession")
     )
 
 

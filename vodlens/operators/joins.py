@@ -29,9 +29,19 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
 
 
+# Decisions already taken in this process, keyed by (session, canonical plan
+# hash, bound): every report of a run joins the same dimensions, so each is
+# counted once.  A stale entry could only change the join strategy, never the
+# result.
+_DECISIONS: dict[tuple[int, int, int], bool] = {}
+
+
 def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
     bound = max_rows if max_rows is not None else max_broadcast_rows(dim)
-    return dim.limit(bound + 1).count() <= bound
+    memo = (id(dim.sparkSession), dim.semanticHash(), bound)
+    if memo not in _DECISIONS:
+        _DECISIONS[memo] = dim.limit(bound + 1).count() <= bound
+    return _DECISIONS[memo]
 
 
 def sized_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:
@@ -56,13 +66,49 @@ def with_customers(df: DataFrame, cus: DataFrame, customer_col: str = "CustomerI
     original comparison of text with a number did.
     """
     f = df.withColumn("_ck", key(customer_col))
-    if SNAPSHOT_COL in cus.columns and "Date" in df.columns:
+    c = customer_dim(cus)
+    cond = F.col("_ck") == F.col("ID")
+    if "_snap" in c.columns and "Date" in df.columns:
         # Dated snapshots (backfills): each day joins its own snapshot.
-        c = cus.select("ID", "Area", "UType", F.col(SNAPSHOT_COL).cast("date").alias("_snap"))
-        cond = (F.col("_ck") == F.col("ID")) & (F.col("Date") == F.col("_snap"))
-        return join_dim(f, c, cond).drop("_ck", "ID", "_snap")
-    c = cus.select("ID", "Area", "UType")
-    return join_dim(f, c, F.col("_ck") == F.col("ID")).drop("_ck", "ID")
+        cond = cond & (F.col("Date") == F.col("_snap"))
+    return join_dim(f, c, cond).drop("_ck", "ID", "_snap")
+
+
+def customer_dim(cus: DataFrame) -> DataFrame:
+    """The projection of the customer table that is joined (and size-checked)."""
+    cols = ["ID", "Area", "UType"]
+    if SNAPSHOT_COL in cus.columns:
+        return cus.select(*cols, F.col(SNAPSHOT_COL).cast("date").alias("_snap"))
+    return cus.select(*cols)
+
+
+def by_customer(
+    facts: DataFrame,
+    cus: DataFrame,
+    keys: list[str],
+    measures: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Attach Area/UType to fact rows, choosing the plan by dimension size.
+
+    ``keys`` must contain ``CustomerID``; ``measures`` are additive columns
+    (counts as 0/1, sums) that the caller re-aggregates with ``sum``.
+
+    * ``cus`` under the broadcast bound: project the measures per row and join
+      the broadcast dimension map-side; no extra shuffle, and the caller's
+      aggregation combines partial results before its shuffle.
+    * ``cus`` too large: sum the measures per key first — map-side partial
+      aggregation collapses a hot customer to one row per task — and
+      shuffle-join that much smaller frame.
+    """
+    measures = measures or {}
+    rows = facts.select(*keys, *[m.alias(n) for n, m in measures.items()])
+    if fits_broadcast(customer_dim(cus)):
+        return with_customers(rows, cus)
+    if measures:
+        pre = rows.groupBy(*keys).agg(*[F.sum(n).alias(n) for n in measures])
+    else:
+        pre = rows.distinct()
+    return with_customers(pre, cus)
 
 
 def with_folders(df: DataFrame, listfolder: DataFrame, item_col: str = "ItemId") -> DataFrame:

@@ -6,21 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import capped, log_is, main_menu_folder
-from .joins import with_customers, with_folders, with_menus
+from .joins import by_customer, with_folders, with_menus
 
 
 def vod_by_main_menu(logs: DataFrame, cus: DataFrame) -> DataFrame:
     """AG6: Date, Area, Folder (app: VOD 2, RELAX 3, CHILD 4, else NULL) →
     views, distinct customers, distinct sessions, capped duration."""
-    per_cus = (
-        logs.where(log_is("52"))
-        .withColumn("Folder", main_menu_folder())
-        .groupBy("Date", "CustomerID", "Folder", "Session")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(capped()).alias("dur"))
+    rows = by_customer(
+        logs.where(log_is("52")).withColumn("Folder", main_menu_folder()),
+        cus,
+        ["Date", "CustomerID", "Folder", "Session"],
+        {"n": F.lit(1).cast("bigint"), "dur": capped()},
     )
     return (
-        with_customers(per_cus, cus)
-        .groupBy("Date", "Area", "Folder")
+        rows.groupBy("Date", "Area", "Folder")
         .agg(
             F.sum("n").alias("TotalViews"),
             F.count_distinct("CustomerID").alias("TotalCustomers"),

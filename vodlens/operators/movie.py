@@ -6,42 +6,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import capped, log_is
-from .joins import with_customers
+from .joins import by_customer
+
+def one():
+    """A count of 1 per row (bigint, so sums never overflow an int)."""
+    return F.lit(1).cast("bigint")
 
 
 def vod_by_movie_chapter(logs: DataFrame, cus: DataFrame) -> DataFrame:
     """AG3: Date, UType, ItemId, ChapterID → views, customers, capped duration."""
-    per_cus = (
-        logs.where(log_is("52"))
-        .groupBy("Date", "CustomerID", "ItemId", "ChapterID")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(capped()).alias("dur"))
+    rows = by_customer(
+        logs.where(log_is("52")),
+        cus,
+        ["Date", "CustomerID", "ItemId", "ChapterID"],
+        {"n": one(), "dur": capped()},
     )
-    return (
-        with_customers(per_cus, cus)
-        .groupBy("Date", "UType", "ItemId", "ChapterID")
-        .agg(
-            F.sum("n").alias("TotalViews"),
-            F.count_distinct("CustomerID").alias("TotalCustomers"),
-            F.round(F.sum("dur"), 2).alias("TotalDuration"),
-        )
+    return rows.groupBy("Date", "UType", "ItemId", "ChapterID").agg(
+        F.sum("n").alias("TotalViews"),
+        F.count_distinct("CustomerID").alias("TotalCustomers"),
+        F.round(F.sum("dur"), 2).alias("TotalDuration"),
     )
 
 
 def vod_by_movie(logs: DataFrame, cus: DataFrame) -> DataFrame:
     """AG4: Date, UType, ItemId → distinct customers."""
-    per_cus = logs.where(log_is("52")).select("Date", "CustomerID", "ItemId").distinct()
-    return (
-        with_customers(per_cus, cus)
-        .groupBy("Date", "UType", "ItemId")
-        .agg(F.count_distinct("CustomerID").alias("TotalCustomers"))
+    rows = by_customer(logs.where(log_is("52")), cus, ["Date", "CustomerID", "ItemId"])
+    return rows.groupBy("Date", "UType", "ItemId").agg(
+        F.count_distinct("CustomerID").alias("TotalCustomers")
     )
 
 
 def customers_by_location(logs: DataFrame, cus: DataFrame) -> DataFrame:
     """AG5: Date, Area, UType → distinct customers."""
-    per_cus = logs.where(log_is("52")).select("Date", "CustomerID").distinct()
-    return (
-        with_customers(per_cus, cus)
-        .groupBy("Date", "Area", "UType")
-        .agg(F.count_distinct("CustomerID").alias("TotalCustomers"))
+    rows = by_customer(logs.where(log_is("52")), cus, ["Date", "CustomerID"])
+    return rows.groupBy("Date", "Area", "UType").agg(
+        F.count_distinct("CustomerID").alias("TotalCustomers")
     )

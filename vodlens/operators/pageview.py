@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import capped, log_is, submenu
-from .joins import with_customers
+from .joins import by_customer
 
 # Placeholder submenu ids that are rejected.
 SUBMENU_PLACEHOLDERS = ["undefined", "null", ""]
@@ -23,19 +23,19 @@ def unique_pageview(logs: DataFrame, cus: DataFrame) -> DataFrame:
     PV (clicks, LogId 512), TotalViews (LogId 52), distinct customers and
     sessions among finished views, capped duration of finished views."""
     is_view = log_is("52")
-    per_cus = (
-        logs.where(log_is("52", "512") & valid_submenu())
-        .groupBy("Date", "CustomerID", submenu().alias("SubMenuId"), "ItemId", "Session")
-        .agg(
-            F.count_if(log_is("512")).alias("pv"),
-            F.count_if(is_view).alias("views"),
-            F.sum(F.when(is_view, capped()).otherwise(F.lit(0.0))).alias("dur"),
-        )
+    rows = by_customer(
+        logs.where(log_is("52", "512") & valid_submenu()).withColumn("SubMenuId", submenu()),
+        cus,
+        ["Date", "CustomerID", "SubMenuId", "ItemId", "Session"],
+        {
+            "pv": F.when(log_is("512"), 1).otherwise(0).cast("bigint"),
+            "views": F.when(is_view, 1).otherwise(0).cast("bigint"),
+            "dur": F.when(is_view, capped()).otherwise(F.lit(0.0)),
+        },
     )
     seen = F.col("views") > 0
     return (
-        with_customers(per_cus, cus)
-        .groupBy("Date", "Area", "UType", "SubMenuId", "ItemId")
+        rows.groupBy("Date", "Area", "UType", "SubMenuId", "ItemId")
         .agg(
             F.sum("pv").alias("PV"),
             F.sum("views").alias("TotalViews"),

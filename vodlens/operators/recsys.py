@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import app_from_id, capped, is_number, level, log_is, num, playing_time, position, submenu
-from .joins import with_customers
+from .joins import by_customer
 
 # Half-way values round the same way in every engine after this nudge.
 ROUND_NUDGE = 1e-9
@@ -32,22 +32,23 @@ def recsys_impressions(logs: DataFrame, cus: DataFrame) -> DataFrame:
     pos_text = F.when(
         is512 & F.col("Position").isNotNull() & (F.col("Position") != "undefined"), F.col("Position")
     ).otherwise(F.lit("0"))
-    per_cus = (
-        rows.select(
-            "Date",
-            "CustomerID",
-            app_from_id().alias("AppId"),
-            sub.alias("SubMenuId"),
-            F.when(home, 1).otherwise(0).alias("isHome"),
-            F.when(is512, 1).otherwise(0).alias("clk"),
-            position(pos_text).alias("pos"),
-        )
-        .where(F.col("SubMenuId") != "undefined")
-        .groupBy("Date", "CustomerID", "AppId", "SubMenuId", "isHome")
-        .agg(F.count(F.lit(1)).alias("imp"), F.sum("clk").alias("clk"), F.sum("pos").alias("pos"))
+    events = rows.select(
+        "Date",
+        "CustomerID",
+        app_from_id().alias("AppId"),
+        sub.alias("SubMenuId"),
+        F.when(home, 1).otherwise(0).alias("isHome"),
+        F.when(is512, 1).otherwise(0).cast("bigint").alias("clk"),
+        position(pos_text).alias("pos"),
+    ).where(F.col("SubMenuId") != "undefined")
+    per_cus = by_customer(
+        events,
+        cus,
+        ["Date", "CustomerID", "AppId", "SubMenuId", "isHome"],
+        {"imp": F.lit(1).cast("bigint"), "clk": F.col("clk"), "pos": F.col("pos")},
     )
     return (
-        with_customers(per_cus, cus)
+        per_cus
         .groupBy("Date", "Area", "UType", "AppId", "SubMenuId", "isHome")
         .agg(
             F.sum("imp").alias("IMP"),
@@ -97,16 +98,16 @@ def recsys_conversion(logs: DataFrame, cus: DataFrame) -> DataFrame:
     )
     movie_keys = ["AppId", "Folder", "isHome", "MovieID", "ChapterID"]
     counts = ["q1", "mpt", "q3", "cmpl"]
-    # Per customer first (collapses hot customers map-side), then customers.
-    per_cus = ev.groupBy("Date", "CustomerID", *movie_keys).agg(
-        F.sum("mply").alias("mply"),
-        F.sum("pt").alias("pt"),
-        F.sum("apr").alias("apr_sum"),
-        F.count("apr").alias("apr_n"),
-        *[F.sum(c).alias(c) for c in counts],
-    )
+    measures = {
+        "mply": F.col("mply").cast("bigint"),
+        "pt": F.col("pt"),
+        "apr_sum": F.col("apr"),
+        "apr_n": F.when(F.col("apr").isNotNull(), 1).otherwise(0).cast("bigint"),
+        **{c: F.col(c).cast("bigint") for c in counts},
+    }
+    per_cus = by_customer(ev, cus, ["Date", "CustomerID", *movie_keys], measures)
     per_movie = (
-        with_customers(per_cus, cus)
+        per_cus
         .groupBy("Date", "Area", "UType", *movie_keys)
         .agg(
             F.sum("mply").alias("mply"),

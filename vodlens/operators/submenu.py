@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import log_is, submenu
-from .joins import with_customers
+from .joins import by_customer
 
 TUPLE = ["Date", "AppId", "CustomerID", "Session", "SessionSubMenu", "SubMenuId"]
 
@@ -39,11 +39,17 @@ def submenu_behaviours(logs: DataFrame, cus: DataFrame) -> DataFrame:
     joined = access.join(hits, cond, "left").select(
         *[access[c] for c in TUPLE], F.col("hit")
     )
-    per_cus = joined.groupBy("Date", "AppId", "CustomerID", "SubMenuId", "Session").agg(
-        F.count("SessionSubMenu").alias("access"), F.count("hit").alias("hit")
+    per_cus = by_customer(
+        joined,
+        cus,
+        ["Date", "AppId", "CustomerID", "SubMenuId", "Session"],
+        {
+            "access": F.when(F.col("SessionSubMenu").isNotNull(), 1).otherwise(0).cast("bigint"),
+            "hit": F.when(F.col("hit").isNotNull(), 1).otherwise(0).cast("bigint"),
+        },
     )
     return (
-        with_customers(per_cus, cus)
+        per_cus
         .groupBy("Date", "Area", "UType", "AppId", "SubMenuId")
         .agg(
             F.sum("access").alias("Access"),
