@@ -80,25 +80,49 @@ def parse_jobs(spec: str) -> tuple[str, list[int]]:
     return source, nums
 
 
+def materialize(logs: DataFrame, how: str = "persist") -> DataFrame:
+    """Make the clean logs reusable by every report of the run.
+
+    * ``persist`` — keep them in executor memory/disk; a lost executor's blocks
+      are recomputed from the source files (short lineage).  For daily sizes
+      that fit the cluster.
+    * ``checkpoint`` — write them once to the shared ``spark.checkpoint.dir``
+      and cut the lineage; reports then re-read the files.  For very large runs.
+    * ``none`` — the input is already a landed table (e.g. the streaming
+      ingest output); each report reads only its own columns and days.
+    """
+    if how == "persist":
+        return logs.persist(StorageLevel.MEMORY_AND_DISK)
+    if how == "checkpoint":
+        from ..session import ensure_checkpoint_dir
+
+        ensure_checkpoint_dir(logs.sparkSession)
+        return logs.checkpoint(eager=True)
+    if how == "none":
+        return logs
+    raise ValueError(f"unknown materialization {how!r}")
+
+
 def run_reports(
     logs: DataFrame,
     dims: Dims,
     jobs: list[int] | None = None,
     sink: Callable[[str, DataFrame], None] | None = None,
+    how: str = "persist",
 ) -> dict[str, DataFrame]:
     """Run the chosen jobs over ``logs``; with a ``sink`` every result is
-    written before the cached logs are released."""
-    cached = logs.persist(StorageLevel.MEMORY_AND_DISK)
+    written before persisted logs are released."""
+    base = materialize(logs, how)
     out: dict[str, DataFrame] = {}
     try:
         for n in jobs or sorted(JOBS):
-            out.update(JOBS[n](cached, dims))
+            out.update(JOBS[n](base, dims))
         if sink is not None:
             for name, df in out.items():
                 sink(name, df)
     finally:
-        if sink is not None:
-            cached.unpersist()
+        if sink is not None and how == "persist":
+            base.unpersist()
     return out
 
 
@@ -124,6 +148,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--listfolder", required=True, help="Parquet with MovieID, Folder")
     p.add_argument("--menus", required=True, help="Parquet with MenuID, FolderID")
     p.add_argument("--out", required=True)
+    p.add_argument("--materialize", default="persist", choices=["persist", "checkpoint", "none"])
     a = p.parse_args(argv)
 
     spark = get_spark()
@@ -140,7 +165,7 @@ def main(argv: list[str] | None = None) -> None:
         by_day = ["Date"] if dict(df.dtypes).get("Date") == "date" else None
         write_table(df, f"{a.out}/{name}", by_day)
 
-    run_reports(logs, dims, jobs, sink)
+    run_reports(logs, dims, jobs, sink, a.materialize)
 
 
 if __name__ == "__main__":
