@@ -6,7 +6,8 @@ is collected on the driver.  Errors raise instead of being printed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 # Rows per JDBC batch (the original loader inserted 100,000 rows at a time).
 DEFAULT_BATCH = 100_000
@@ -21,14 +22,16 @@ def append_jdbc(
     atomic: bool = False,
     columns: list[str] | None = None,
     num_partitions: int | None = None,
-) -> None:
+) -> int:
     """Append ``df`` to ``table``; columns are matched by name (SNK1/SNK3).
 
     JDBC commits once per task, so ``atomic=True`` writes through a single
     partition: all rows or none.  Otherwise ``num_partitions`` bounds the
-    number of concurrent connections.
+    number of concurrent connections.  Returns the number of rows written
+    (SNK2), observed during the write itself — no second pass over the data.
     """
-    out = df.select(*columns) if columns else df
+    seen = Observation("jdbc_append")
+    out = (df.select(*columns) if columns else df).observe(seen, F.count(F.lit(1)).alias("rows"))
     if atomic:
         out = out.coalesce(1)
     elif num_partitions:
@@ -40,6 +43,7 @@ def append_jdbc(
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.save()
+    return int(seen.get["rows"])
 
 
 def append_if_rows(df: DataFrame, url: str, table: str, **kw) -> bool:
