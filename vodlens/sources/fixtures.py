@@ -15,8 +15,17 @@ from pyspark.sql import functions as F
 from ..schema import LOG_FIELDS
 
 
+# Read DataFrames of the (read-only) driver tables, per session: listing the
+# file and reading its footer once is enough for every query of a run.
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    k = (id(spark), path)
+    if k not in _TABLES:
+        _TABLES[k] = spark.read.parquet(path)
+    return _TABLES[k]
 
 
 def _by(k: Column, mod: int, values: list) -> Column:
