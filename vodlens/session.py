@@ -25,10 +25,15 @@ DEFAULT_CONF = {
     # Python call-site capture on every Column/DataFrame call (only adds line
     # numbers to error messages) costs ~1 ms per call while building plans.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 # Applied when the session starts (client-side flags are read once).
-STARTUP_CONF = ("spark.ui.enabled", "spark.python.sql.dataFrameDebugging.enabled")
+STARTUP_CONF = (
+    "spark.ui.enabled",
+    "spark.python.sql.dataFrameDebugging.enabled",
+    "spark.ui.showConsoleProgress",
+)
 
 
 def get_spark(
@@ -67,14 +72,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting points at shared storage and is read as is.  Only
     when it is unset (local tests) do we create a folder of our own.
     """
-    path = spark.sparkContext.getCheckpointDir()
-    if path:
-        return path
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext on the client
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:
+        if not path:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return path
     if not path:
         path = tempfile.mkdtemp(prefix="vodlens-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir() or path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
