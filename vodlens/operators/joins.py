@@ -1,12 +1,14 @@
 """Dimension joins with a checked broadcast.
 
 A dimension is broadcast only after counting that it has at most
-``max_rows`` rows (``limit(max_rows + 1).count()`` reads at most that many
-rows, so the check stays cheap even for a huge table).  Above the bound the
-join is a plain shuffle join: AQE may still turn it into a broadcast at run
-time from real sizes, and its skew-join splitting handles a hot key on the
-fact side.  Reports aggregate per customer *before* joining customers, so a
-hot customer is already collapsed by map-side partial aggregation.
+``max_rows`` rows.  The count is a plain ``count()``: every task counts its
+own rows and only one number per task crosses the shuffle (``limit(n).count()``
+would instead funnel up to n rows of every partition through one task).
+Above the bound the join is a plain shuffle join: AQE may still turn it into
+a broadcast at run time from real sizes, and its skew-join splitting handles
+a hot key on the fact side.  ``by_customer`` aggregates per customer *before*
+a shuffle join, so a hot customer is already collapsed by map-side partial
+aggregation.
 """
 
 from __future__ import annotations
@@ -40,7 +42,7 @@ def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
     bound = max_rows if max_rows is not None else max_broadcast_rows(dim)
     memo = (id(dim.sparkSession), dim.semanticHash(), bound)
     if memo not in _DECISIONS:
-        _DECISIONS[memo] = dim.limit(bound + 1).count() <= bound
+        _DECISIONS[memo] = dim.count() <= bound
     return _DECISIONS[memo]
 
 
