@@ -18,6 +18,8 @@ def write_json_result(df: DataFrame, path: str) -> None:
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Write a report table; with ``partition_by=['Date']`` and dynamic partition
     overwrite a re-run replaces its own days instead of appending duplicates."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -58,7 +58,10 @@ def _partitioned(path) -> bool:
 def write_raw(df: DataFrame, path: str, fmt: str = "json") -> None:
     """Land raw logs partitioned by day (used by tests and the streaming ingest)."""
     day = F.date_format(F.col("received_at").cast("timestamp"), "yyyy-MM-dd")
-    w = df.withColumn(PARTITION, day).write.mode("overwrite").partitionBy(PARTITION)
+    # REBALANCE clusters rows by day (few files per day) while AQE splits a
+    # skewed day over several tasks instead of one.
+    out = df.withColumn(PARTITION, day).hint("rebalance", PARTITION)
+    w = out.write.mode("overwrite").partitionBy(PARTITION)
     if fmt == "json":
         w = w.option("timestampFormat", TS_FORMAT)
     w.format(fmt).save(path)
