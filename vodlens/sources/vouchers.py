@@ -88,16 +88,32 @@ def voucher_rows(promotions: DataFrame) -> DataFrame:
     return typed.withColumn("xml", F.concat(*parts))
 
 
-def xml_payloads(rows: DataFrame, chunk_rows: int = 1000, order_col: str = "id") -> DataFrame:
-    """SNK4/SNK5: concatenate XML elements in ``order_col`` order into payloads
-    of at most ``chunk_rows`` elements (one procedure call each), so no single
-    string has to hold the whole feed."""
+def xml_payloads(rows: DataFrame, chunk_rows: int = 1000, order_col: str | None = "id") -> DataFrame:
+    """SNK4/SNK5: concatenate XML elements into payloads of at most
+    ``chunk_rows`` elements (one procedure call each), so no single string has
+    to hold the whole feed.
+
+    With a numeric ``order_col`` (unique ids) elements are ordered by it.
+    Without one (``None``, e.g. pivoted customer rows) each task cuts its own
+    rows into chunks by their position in the partition — no extra ordering
+    pass; an empty input gives no payload, hence no call.
+    """
+    if order_col is not None:
+        key = F.col(order_col)
+        chunk = F.floor(key / chunk_rows)
+    else:
+        rid = F.monotonically_increasing_id()  # partition id in the high bits
+        key = rid
+        chunk = F.struct(
+            F.shiftright(rid, 33).alias("part"),
+            F.floor(rid.bitwiseAND(F.lit((1 << 33) - 1)) / chunk_rows).alias("n"),
+        )
     return (
-        rows.withColumn("chunk", F.floor(F.col(order_col) / chunk_rows))
+        rows.select(chunk.alias("chunk"), key.alias("_k"), "xml")
         .groupBy("chunk")
         .agg(
             F.array_join(
-                F.transform(F.sort_array(F.collect_list(F.struct(order_col, "xml"))), lambda s: s["xml"]),
+                F.transform(F.sort_array(F.collect_list(F.struct("_k", "xml"))), lambda s: s["xml"]),
                 "",
             ).alias("payload"),
             F.count(F.lit(1)).alias("n"),
