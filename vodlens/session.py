@@ -20,6 +20,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Broadcasts only from proven sizes: dimensions pass a row count in
+    # ``operators.joins``; AQE may still broadcast a side whose *measured*
+    # shuffle output is small.  No broadcast from file-size estimates.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     # Python call-site capture on every Column/DataFrame call (only adds line
