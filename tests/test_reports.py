@@ -79,3 +79,30 @@ def test_expected_fixture_figures(spark):
     assert q(spark, "title_device_matrix").count() == 29
     menu = {r["MenuID"]: r["n"] for r in q(spark, "vod_by_menu").groupBy("MenuID").agg(F.sum("TotalCustomer").alias("n")).collect()}
     assert len(menu) == 7
+
+
+def test_device_documents_agree_with_flat_reports(spark, tmp_dir):
+    import json
+    import os
+
+    from vodlens.operators.views import device_documents
+    from vodlens.sinks import write_json_result
+
+    docs = device_documents(q(spark, "views_daily"), q(spark, "views_day_hour"), q(spark, "top_items_with_titles"))
+    rows = {r["device"]: r for r in docs.collect()}
+    assert set(rows) == {"mobile", "box", "smarttv"}
+    daily = q(spark, "views_daily").orderBy("day")
+    hours = q(spark, "views_day_hour")
+    for dev, r in rows.items():
+        want = [x["views"] for x in daily.where(F.col("device") == dev).collect()]
+        assert r["daily_views"] == want and r["total"] == sum(want)
+        assert len(r["hour_matrix"]) == len(want) and all(len(h) == 24 for h in r["hour_matrix"])
+        assert [sum(h) for h in r["hour_matrix"]] == want
+        h = hours.where((F.col("device") == dev) & (F.col("day") == "2024-01-05")).collect()[0]
+        assert r["by_hour"]["2024-01-05"]["07"] == h["h07"]
+        top = r["top10"]["2024-01-05"]
+        assert 0 < len(top) <= 10 and top[0]["count_duration"] >= top[-1]["count_duration"]
+    write_json_result(docs, f"{tmp_dir}/docs")
+    [name] = [f for f in os.listdir(f"{tmp_dir}/docs") if f.endswith(".json")]
+    lines = open(f"{tmp_dir}/docs/{name}", encoding="utf-8").read().splitlines()
+    assert len(lines) == 3 and "by_hour" in json.loads(lines[0])

@@ -151,3 +151,35 @@ def title_device_matrix(top_titles: DataFrame) -> DataFrame:
             for d in DEVICES
         ]
     )
+
+
+def device_documents(daily: DataFrame, day_hour: DataFrame, top_titles: DataFrame) -> DataFrame:
+    """SNK6 shapes, one row per device: the daily counts as a list ordered by
+    day, their total, ``{day: {hh: views}}``, the day × hour matrix, and
+    ``{day: [top records]}``.  Every document is bounded by the calendar length
+    (days × 24 values, days × 10 records), not by the data size."""
+    hours = [f"h{i:02d}" for i in HOURS]
+    labels = F.array(*[F.lit(f"{i:02d}") for i in HOURS])
+    day_s = F.date_format("day", "yyyy-MM-dd")
+    per_day = daily.join(day_hour, ["device", "day"]).select(
+        "device", "day", "views", day_s.alias("d"), F.array(*[F.col(h) for h in hours]).alias("hour_row")
+    )
+    counts = per_day.groupBy("device").agg(
+        F.sort_array(F.collect_list(F.struct("day", "views", "d", "hour_row"))).alias("days"),
+        F.sum("views").alias("total"),
+    )
+    record = F.struct("rank", "ItemId", "count_duration", "sum_duration", "title", "title_vie")
+    tops = top_titles.groupBy("device", day_s.alias("d")).agg(
+        F.transform(F.sort_array(F.collect_list(record)), lambda r: r.dropFields("rank")).alias("items")
+    )
+    top_docs = tops.groupBy("device").agg(F.map_from_entries(F.collect_list(F.struct("d", "items"))).alias("top10"))
+    return counts.join(top_docs, "device", "left").select(
+        "device",
+        F.transform("days", lambda x: x["views"]).alias("daily_views"),
+        "total",
+        F.map_from_entries(
+            F.transform("days", lambda x: F.struct(x["d"], F.map_from_arrays(labels, x["hour_row"])))
+        ).alias("by_hour"),
+        F.transform("days", lambda x: x["hour_row"]).alias("hour_matrix"),
+        "top10",
+    )
