@@ -72,3 +72,18 @@ def test_large_dimension_path_matches_oracle(spark):
                 assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan
     finally:
         spark.conf.unset(joins.CONF_KEY)
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    rows = [(i, "x" * 1000) for i in range(2000)]
+    wide = spark.createDataFrame(rows, "ID long, note string")
+    n, size = joins.measure(wide)
+    assert n == 2000 and size >= 2000 * 1000
+    assert joins.fits_broadcast(wide)
+    spark.conf.set(joins.CONF_BYTES, str(1_000_000))
+    try:
+        assert not joins.fits_broadcast(wide)  # 2,000 rows but ~2 MB of text
+        narrow = wide.select("ID")
+        assert joins.fits_broadcast(narrow)
+    finally:
+        spark.conf.unset(joins.CONF_BYTES)

@@ -1,14 +1,16 @@
 """Dimension joins with a checked broadcast.
 
-A dimension is broadcast only after counting that it has at most
-``max_rows`` rows.  The count is a plain ``count()``: every task counts its
-own rows and only one number per task crosses the shuffle (``limit(n).count()``
-would instead funnel up to n rows of every partition through one task).
-Above the bound the join is a plain shuffle join: AQE may still turn it into
-a broadcast at run time from real sizes, and its skew-join splitting handles
-a hot key on the fact side.  ``by_customer`` aggregates per customer *before*
-a shuffle join, so a hot customer is already collapsed by map-side partial
-aggregation.
+A dimension is broadcast only after one aggregation pass has measured it: its
+row count and the bytes of its text columns (``octet_length``), turned into
+an upper bound of its in-memory size; both must be under the bounds
+(``vodlens.broadcast.maxRows``, ``vodlens.broadcast.maxBytes``).  The pass is
+a plain aggregation — every task sums its own rows and only one row per task
+crosses the shuffle (``limit(n).count()`` would instead funnel up to n rows of
+every partition through one task).  Above the bounds the join is a shuffle
+join: AQE may still turn it into a broadcast from measured sizes, and its
+skew-join splitting handles a hot key on the fact side.  ``by_customer``
+aggregates per customer *before* a shuffle join, so a hot customer is already
+collapsed by map-side partial aggregation.
 """
 
 from __future__ import annotations
@@ -18,10 +20,15 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import key
 
-# Default row bound for a broadcast dimension (narrow projections only:
-# a few columns, so ~1M rows stays in the tens of MB).
+# Default bounds for a broadcast dimension.
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 CONF_KEY = "vodlens.broadcast.maxRows"
+CONF_BYTES = "vodlens.broadcast.maxBytes"
+# Per-row overhead and per-value width assumed for non-text columns (bytes);
+# generous for an UnsafeRow of a few fixed-width fields.
+ROW_OVERHEAD = 32
+FIXED_WIDTH = 8
 # Optional column of a customer table holding one snapshot per day.
 SNAPSHOT_COL = "SnapshotDate"
 
@@ -35,14 +42,31 @@ def max_broadcast_rows(df: DataFrame) -> int:
 # hash, bound): every report of a run joins the same dimensions, so each is
 # counted once.  A stale entry could only change the join strategy, never the
 # result.
-_DECISIONS: dict[tuple[int, int, int], bool] = {}
+_DECISIONS: dict[tuple[int, int, int, int], bool] = {}
+
+
+def max_broadcast_bytes(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get(CONF_BYTES, None)
+    return int(v) if v else DEFAULT_MAX_BROADCAST_BYTES
+
+
+def measure(dim: DataFrame) -> tuple[int, int]:
+    """(rows, upper bound of bytes) of ``dim`` in one aggregation pass."""
+    text = [f.name for f in dim.schema.fields if f.dataType.typeName() in ("string", "binary")]
+    other = len(dim.schema.fields) - len(text)
+    text_bytes = sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in text), F.lit(0))
+    r = dim.agg(F.count(F.lit(1)).alias("n"), F.sum(text_bytes.cast("bigint")).alias("b")).collect()[0]
+    rows, tb = int(r["n"]), int(r["b"] or 0)
+    return rows, rows * (ROW_OVERHEAD + FIXED_WIDTH * other + 8 * len(text)) + tb
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
     bound = max_rows if max_rows is not None else max_broadcast_rows(dim)
-    memo = (id(dim.sparkSession), dim.semanticHash(), bound)
+    byte_bound = max_broadcast_bytes(dim)
+    memo = (id(dim.sparkSession), dim.semanticHash(), bound, byte_bound)
     if memo not in _DECISIONS:
-        _DECISIONS[memo] = dim.count() <= bound
+        rows, size = measure(dim)
+        _DECISIONS[memo] = rows <= bound and size <= byte_bound
     return _DECISIONS[memo]
 
 
