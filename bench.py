@@ -37,9 +37,12 @@ def main() -> None:
         return time.perf_counter() - t0
 
     run("vod_by_folder")  # warm-up: JIT, codegen caches, file listing
-    times = {}
+    times, errors = {}, {}
     for name in only or list(QUERIES):
-        times[name] = round(run(name), 3)
+        try:
+            times[name] = round(run(name), 3)
+        except Exception as e:  # keep measuring the rest; report the failure
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     total = round(sum(times.values()), 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({
@@ -50,6 +53,7 @@ def main() -> None:
         "sf": float(sf) if sf.replace(".", "").isdigit() else sf,
         "cpus": cpus,
         "n_queries": len(times),
+        **({"errors": errors} if errors else {}),
     }))
     spark.stop()
 
