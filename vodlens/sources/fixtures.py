@@ -93,14 +93,26 @@ def _log_fields(ev: DataFrame) -> dict[str, Column]:
     }
 
 
+def _as_records(ev: DataFrame, record: Column) -> DataFrame:
+    """One raw record per event, produced by a generator.
+
+    Filters above (the cleaning rules) cannot be pushed below a generator, so
+    they run on the built record — as they would on records read from files —
+    instead of being inlined into, and re-evaluating, the record construction
+    once per predicate reference.
+    """
+    return ev.select(F.inline(F.array(record)))
+
+
 def raw_kafka_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kafka-dump shaped raw log: ``received_at timestamp, fields struct``."""
     ev = events_with_k(spark, sf_dir)
     f = _log_fields(ev)
-    return ev.select(
+    record = F.struct(
         F.col("ts").cast("timestamp").alias("received_at"),
         F.struct(*[f[n].alias(n) for n in LOG_FIELDS]).alias("fields"),
     )
+    return _as_records(ev, record)
 
 
 def raw_archive_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,10 +123,11 @@ def raw_archive_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = events_with_k(spark, sf_dir)
     f = _log_fields(ev)
     m = F.create_map(*[x for n in LOG_FIELDS for x in (F.lit(n), f[n])])
-    return ev.select(
+    record = F.struct(
         F.col("ts").cast("string").alias("received_at"),
         F.map_filter(m, lambda _k, v: v.isNotNull()).alias("fields"),
     )
+    return _as_records(ev, record)
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
