@@ -61,9 +61,9 @@ def test_views_orc_partitions_and_legacy_layout(spark, tmp_dir):
     for dev in ("mobile", "box"):
         for day in ("2024-01-03", "2024-01-04"):
             part = views.where((F.col("device") == dev) & (F.col("day") == day)).drop("device", "day")
-            part.write.orc(f"{legacy}/{dev}/phimbo_{day}")
-    paths = [f"{legacy}/{d}/phimbo_{day}" for d in ("mobile", "box") for day in ("2024-01-03", "2024-01-04")]
-    got = view_src.read_day_folders(spark, paths, r"/([a-z]+)/phimbo_([0-9-]{10})/")
+            part.write.orc(f"{legacy}/{dev}/views_{day}")
+    paths = [f"{legacy}/{d}/views_{day}" for d in ("mobile", "box") for day in ("2024-01-03", "2024-01-04")]
+    got = view_src.read_day_folders(spark, paths, r"/([a-z]+)/views_([0-9-]{10})/")
     want2 = views.where(F.col("device").isin("mobile", "box") & F.col("day").between("2024-01-03", "2024-01-04"))
     assert got.exceptAll(want2.select(*got.columns)).count() == 0 and got.count() == want2.count()
 
