@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +17,14 @@ def submenu_behaviours(logs: DataFrame, cus: DataFrame) -> DataFrame:
     """AG14: Date, Area, UType, AppId, SubMenuId → Access, Miss, Session.
 
     An access is a distinct (Date, app, customer, session, menu session,
-    submenu) tuple of submenu views (57) with a menu session; it is a hit when
-    the same tuple has a click (512) — plain equality, so NULL parts never
-    match.  Miss = Access − Hit; Session counts distinct sessions of all
-    accessed tuples.
+    submenu) tuple of submenu views (57); it is a hit when the same tuple has a
+    click (512), compared with plain equality, so a tuple with a NULL part
+    never hits.  Access counts accessed tuples with a menu session, Miss =
+    Access − Hit, Session counts distinct sessions of all accessed tuples.
+
+    Instead of de-duplicating views and clicks separately and joining them,
+    both kinds of rows are grouped once by the tuple with a flag per kind —
+    one shuffle, with map-side partial aggregation for hot tuples.
     """
     rows = logs.where(
         log_is("512", "57")
@@ -33,19 +39,18 @@ def submenu_behaviours(logs: DataFrame, cus: DataFrame) -> DataFrame:
         submenu().alias("SubMenuId"),
         "LogId",
     )
-    access = rows.where(log_is("57")).select(*TUPLE).distinct()
-    hits = rows.where(log_is("512")).select(*TUPLE).distinct().withColumn("hit", F.lit(1))
-    cond = [access[c] == hits[c] for c in TUPLE]
-    joined = access.join(hits, cond, "left").select(
-        *[access[c] for c in TUPLE], F.col("hit")
+    tuples = rows.groupBy(*TUPLE).agg(
+        F.bool_or(log_is("57")).alias("viewed"), F.bool_or(log_is("512")).alias("clicked")
     )
+    complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in TUPLE])
+    accessed = tuples.where("viewed")
     per_cus = by_customer(
-        joined,
+        accessed,
         cus,
         ["Date", "AppId", "CustomerID", "SubMenuId", "Session"],
         {
             "access": F.when(F.col("SessionSubMenu").isNotNull(), 1).otherwise(0).cast("bigint"),
-            "hit": F.when(F.col("hit").isNotNull(), 1).otherwise(0).cast("bigint"),
+            "hit": F.when(F.col("clicked") & complete, 1).otherwise(0).cast("bigint"),
         },
     )
     return (
