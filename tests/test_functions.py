@@ -143,3 +143,21 @@ def test_formatting(spark):
         ("0.0K", "0.0M", "2022-12-04-Sun", "13"),
         ("0.005K", "5.0E-6M", "2022-12-05-Mon", "00"),
     ]
+
+
+TRICKY = ['12', ' 12 ', '\t12\n', '+12', '-0', '12.0', '12.5', '1e3', '0x1p3', '1.5d', '1.5f', '1_000',
+          '١٢', '　12　', ' 12', 'Infinity', ' inf ', '-inf', 'NaN', 'nan', '+nan', '--1', '',
+          ' ', 'undefined', 'x:1', '3:2', '9223372036854775808', '.5', '5.', 'Inf', 'INFINITY', '\x0112',
+          '12\x00', '1,234', 'null', '0012', None]
+
+
+def test_guarded_casts_equal_try_cast(spark):
+    from vodlens.functions.exprs import num, to_long
+
+    df = spark.createDataFrame([(t,) for t in TRICKY], "s string")
+    got = df.select(num("s").alias("a"), F.col("s").try_cast("double").alias("b"),
+                    to_long("s").alias("c"), F.col("s").try_cast("bigint").alias("d")).collect()
+    for t, r in zip(TRICKY, got):
+        same_d = (r["a"] == r["b"]) or (r["a"] != r["a"] and r["b"] != r["b"])  # NaN
+        assert same_d, (t, r)
+        assert r["c"] == r["d"], (t, r)
