@@ -77,18 +77,18 @@ def level(real: ColumnOrName, elapsed: ColumnOrName, dur: ColumnOrName) -> Colum
     """Completion level (FN2) of playing time over content length.
 
     Length 0 → 1; ratio in (0, .25] → 1, (.25, .5] → 2, (.5, .75] → 3, above →
-    4; ratio ≤ 0 or any input not a number → 0.
+    4; ratio ≤ 0 (or NaN) or any input not a number → 0.
+
+    The quarter buckets are ``ceil(4 · ratio)`` clamped to 0..4 (× 4 is exact in
+    binary floating point), so the playing-time expression appears once
+    instead of once per bucket test.
     """
     t, d = playing_time(real, elapsed, dur), _dbl(dur)
-    ratio = F.try_divide(t, d)
+    quarter = F.ceil(F.try_divide(t, d) * 4)
     return (
         F.when(t.isNull(), 0)
         .when(d == 0, 1)
-        .when((ratio > 0) & (ratio <= 0.25), 1)
-        .when((ratio > 0.25) & (ratio <= 0.5), 2)
-        .when((ratio > 0.5) & (ratio <= 0.75), 3)
-        .when(ratio > 0.75, 4)
-        .otherwise(0)
+        .otherwise(F.least(F.greatest(quarter, F.lit(0)), F.lit(4)).cast("int"))
     )
 
 
