@@ -26,6 +26,11 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot does not JIT-compile methods over 8,000 bytecodes; a stage whose
+    # whole-stage-codegen method is larger would run interpreted.  With this
+    # limit Spark splits such a stage back into separately compiled operators
+    # (measured: -23 % over all queries on 5M events, up to 4x on single ones).
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.ui.enabled": "false",
     # Python call-site capture on every Column/DataFrame call (only adds line
     # numbers to error messages) costs ~1 ms per call while building plans.
