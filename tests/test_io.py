@@ -98,6 +98,23 @@ def test_jdbc_append_twice_and_read_back(spark):
     assert append_if_rows(df.limit(0), url, "T1", properties=DERBY) is False
 
 
+def test_jdbc_atomic_append_is_all_or_nothing(spark):
+    url = f"jdbc:derby:memory:vl{uuid.uuid4().hex[:8]};create=true"
+    rows = spark.range(0, 5000, numPartitions=6).selectExpr("CAST(id AS INT) AS ID", "CAST(id % 7 AS STRING) AS NAME")
+    # Written in parallel to a staging table, moved in one transaction.
+    assert append_jdbc(rows, url, "T2", DERBY, atomic=True, num_partitions=3) == 5000
+    assert jdbc_table(spark, url, "T2", properties=DERBY).count() == 5000
+    # A move that fails (no EXTRA column in T2) leaves T2 untouched.
+    bad = rows.withColumn("EXTRA", F.lit(1))
+    with pytest.raises(Exception):
+        append_jdbc(bad, url, "T2", DERBY, atomic=True)
+    assert jdbc_table(spark, url, "T2", properties=DERBY).count() == 5000
+    # No staging table is left behind.
+    left = jdbc_table(spark, url, query="SELECT TABLENAME FROM SYS.SYSTABLES WHERE TABLENAME LIKE 'T2_STG_%'",
+                      properties=DERBY)
+    assert left.count() == 0
+
+
 def test_jdbc_dimension_lookups(spark):
     url = f"jdbc:derby:memory:vl{uuid.uuid4().hex[:8]};create=true"
     append_jdbc(fixtures.menu_detail(spark, SF), url, "MENU_DETAIL", DERBY)
