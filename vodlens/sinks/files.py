@@ -10,9 +10,11 @@ def write_json_result(df: DataFrame, path: str) -> None:
     """SNK6: a small named result as one UTF-8 JSON-lines file (non-ASCII kept).
 
     Only for results bounded by construction (per-device grids, top lists);
-    large reports go to ``write_table``.
+    large reports go to ``write_table``.  ``repartition(1)`` (not ``coalesce``)
+    so only the file writer is single; the stage computing ``df`` stays
+    parallel.
     """
-    df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    df.repartition(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
