@@ -96,6 +96,8 @@ def test_jdbc_append_twice_and_read_back(spark):
                       upper_bound=3, num_partitions=2)
     assert part.rdd.getNumPartitions() == 2 and part.count() == 4
     assert append_if_rows(df.limit(0), url, "T1", properties=DERBY) is False
+    assert append_if_rows(df, url, "T1", properties=DERBY) is True
+    assert jdbc_table(spark, url, "T1", properties=DERBY).count() == 6
 
 
 def test_jdbc_atomic_append_is_all_or_nothing(spark):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,8 +110,16 @@ def _execute(spark: SparkSession, url, props, statements: list[str], ignore_erro
 
 
 def append_if_rows(df: DataFrame, url: str, table: str, **kw) -> bool:
-    """SNK7: skip the write (and the connection) when there is nothing to load."""
-    if df.isEmpty():
-        return False
-    append_jdbc(df, url, table, **kw)
-    return True
+    """SNK7: skip the write (and the connection) when there is nothing to load.
+
+    The result is persisted while it is tested and written, so the report is
+    computed once (a lost executor's blocks are recomputed from lineage).
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if kept.isEmpty():
+            return False
+        append_jdbc(kept, url, table, **kw)
+        return True
+    finally:
+        kept.unpersist()
