@@ -186,3 +186,22 @@ def test_pivot_rows_to_xml_payload(spark):
     assert n_elems == pivot.count()
     # empty input: no payload rows, hence no procedure call
     assert vouchers.xml_payloads(rows.limit(0), order_col=None).count() == 0
+
+
+def test_xml_payloads_bounded_with_a_hot_id(spark):
+    # id 5 has a third of all rows: chunks are cut by position, not by id.
+    n = 3000
+    ids = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id"))
+    rows = spark.range(0, n, numPartitions=5).select(
+        ids.alias("id"), F.concat(F.lit('<T ID="'), ids.cast("string"), F.lit('" R="'), F.col("id").cast("string"), F.lit('"/>')).alias("xml")
+    )
+    pay = vouchers.xml_payloads(rows, chunk_rows=100).orderBy("chunk").collect()
+    assert [p["chunk"] for p in pay] == list(range(n // 100))
+    assert all(p["n"] == 100 for p in pay)
+    elems = [e + "/>" for p in pay for e in p["payload"].split("/>") if e]
+    assert sorted(elems) == sorted(r["xml"] for r in rows.collect())
+    got_ids = [int(e.split('"')[1]) for e in elems]
+    assert got_ids == sorted(got_ids)
+    # the positions themselves: 0..n-1, each once
+    pos = vouchers.global_positions(rows, ["id"]).select("_pos").collect()
+    assert sorted(r[0] for r in pos) == list(range(n))

@@ -7,10 +7,11 @@ many pages load in parallel and no page passes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schema import VOUCHER_FEED
+from ..session import ensure_checkpoint_dir
 
 
 def pack_pages(items: DataFrame, page_size: int = 1000, order_col: str = "id") -> DataFrame:
@@ -93,23 +94,27 @@ def xml_payloads(rows: DataFrame, chunk_rows: int = 1000, order_col: str | None
     ``chunk_rows`` elements (one procedure call each), so no single string has
     to hold the whole feed.
 
-    With a numeric ``order_col`` (unique ids) elements are ordered by it.
-    Without one (``None``, e.g. pivoted customer rows) each task cuts its own
-    rows into chunks by their position in the partition — no extra ordering
-    pass; an empty input gives no payload, hence no call.
+    With ``order_col`` the elements are cut by their exact position in
+    ``order_col`` order (copies of one id in arrival order) — payload ``k``
+    holds positions ``k*chunk_rows`` to ``(k+1)*chunk_rows - 1`` however many
+    copies an id has.  Without one (``None``, e.g. pivoted customer rows) each
+    task cuts its own rows into chunks by their position in the partition — no
+    ordering pass.  An empty input gives no payload, hence no call.
     """
     if order_col is not None:
-        key = F.col(order_col)
+        ranked = global_positions(rows.select(order_col, "xml"), [order_col])
+        key = F.col("_pos")
         chunk = F.floor(key / chunk_rows)
     else:
+        ranked = rows
         rid = F.monotonically_increasing_id()  # partition id in the high bits
         key = rid
         chunk = F.struct(
             F.shiftright(rid, 33).alias("part"),
-            F.floor(rid.bitwiseAND(F.lit((1 << 33) - 1)) / chunk_rows).alias("n"),
+            F.floor(rid.bitwiseAND(F.lit(LOCAL_MASK)) / chunk_rows).alias("n"),
         )
     return (
-        rows.select(chunk.alias("chunk"), key.alias("_k"), "xml")
+        ranked.select(chunk.alias("chunk"), key.alias("_k"), "xml")
         .groupBy("chunk")
         .agg(
             F.array_join(
@@ -119,3 +124,48 @@ def xml_payloads(rows: DataFrame, chunk_rows: int = 1000, order_col: str | None
             F.count(F.lit(1)).alias("n"),
         )
     )
+
+
+# Low bits of ``monotonically_increasing_id``: the row's position in its partition.
+LOCAL_MASK = (1 << 33) - 1
+
+
+def global_positions(df: DataFrame, order: list[str], num_partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``_pos``: the row's 0-based position in ``order`` (ties in
+    arrival order), computed without a single-task sort.
+
+    Rows are range-partitioned on ``order`` plus a unique arrival id, so even
+    one key holding a third of all rows is split over many tasks.  Each range
+    is sorted locally; a row's position is the number of rows in earlier ranges
+    (a prefix sum over one count per range — as many rows as partitions, hence
+    a bounded broadcast) plus its position in its own range.
+
+    The counts and the rows must see the very same ranges, but a recomputed
+    range shuffle may draw other boundaries (skewed input is re-sampled) and
+    other arrival ids (after an upstream shuffle).  So the ranged rows are
+    written once to the shared checkpoint folder and both sides read them;
+    this also keeps positions stable when executors are lost.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*order, "_arrival"]
+    ensure_checkpoint_dir(spark)
+    ranged = (
+        df.withColumn("_arrival", F.monotonically_increasing_id())
+        .repartitionByRange(n, *keys)
+        .sortWithinPartitions(*keys)
+        .select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_rid"))
+        .checkpoint(eager=True)
+    )
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy("_range")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    )
+    pos = F.col("_start") + F.col("_rid").bitwiseAND(F.lit(LOCAL_MASK))
+    return (
+        ranged.join(F.broadcast(starts), "_range")
+        .withColumn("_pos", pos)
+        .drop("_arrival", "_range", "_rid", "_start")
+    )
