@@ -14,11 +14,15 @@ from ..schema import VOUCHER_FEED
 from ..session import ensure_checkpoint_dir
 
 
-def pack_pages(items: DataFrame, page_size: int = 1000, order_col: str = "id") -> DataFrame:
-    """Group flat promotions into feed pages ``{"data": [...]}`` of bounded size."""
+def pack_pages(items: DataFrame, page_size: int = 1000) -> DataFrame:
+    """Group flat promotions into feed pages ``{"data": [...]}`` of at most
+    ``page_size`` items: each task cuts its own rows by position, so a page
+    stays bounded however many copies one id has (items sorted within a page)."""
     cols = [c for c in items.columns]
+    rid = F.monotonically_increasing_id()  # partition id in the high bits
+    page = F.struct(F.shiftright(rid, 33).alias("part"), F.floor(rid.bitwiseAND(F.lit(LOCAL_MASK)) / page_size).alias("n"))
     return (
-        items.withColumn("_page", F.floor(F.col(order_col) / page_size))
+        items.withColumn("_page", page)
         .groupBy("_page")
         .agg(F.sort_array(F.collect_list(F.struct(*cols))).alias("data"))
         .select("data")
