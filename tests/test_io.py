@@ -38,6 +38,28 @@ def test_read_logs_prefers_kafka_then_falls_back(spark, tmp_dir):
         log_src.read_logs(spark, kafka, archive, days, "z")
 
 
+def test_read_logs_falls_back_per_day_and_lists_only_those_days(spark, tmp_dir):
+    kafka, archive = f"{tmp_dir}/kafka", f"{tmp_dir}/archive"
+    day = F.to_date(F.col("received_at").cast("timestamp")).cast("string")
+    early = ["2024-01-02", "2024-01-03", "2024-01-04"]
+    # Kafka dumps exist for three days only; the archive has every day.
+    log_src.write_raw(fixtures.raw_kafka_logs(spark, SF).where(day.isin(*early)), kafka)
+    log_src.write_raw(fixtures.raw_archive_logs(spark, SF), archive)
+    days = ["2024-01-03", "2024-01-04", "2024-01-05", "2024-01-06"]
+    in_days = lambda df, ds: df.where(F.col("Date").cast("string").isin(*ds))
+    want = in_days(clean_kafka(fixtures.raw_kafka_logs(spark, SF)), days[:2]).unionByName(
+        in_days(clean_archive(fixtures.raw_archive_logs(spark, SF)), days[2:]))
+    got = log_src.read_logs(spark, kafka, archive, days, "k")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # Only the requested day folders reach the file index.
+    files = log_src.read_raw(spark, archive, "archive", dates=days[2:]).inputFiles()
+    assert files and all(("dt=2024-01-05" in f) or ("dt=2024-01-06" in f) for f in files)
+    # A day in neither source gives no rows; no day at all is an error.
+    assert log_src.read_raw(spark, kafka, "kafka", dates=["2023-01-01"]).count() == 0
+    with pytest.raises(FileNotFoundError):
+        log_src.read_logs(spark, kafka, archive, ["2023-01-01"], "k")
+
+
 def test_partition_filter_prunes_days(spark, tmp_dir):
     path = f"{tmp_dir}/kafka"
     log_src.write_raw(fixtures.raw_kafka_logs(spark, SF), path)

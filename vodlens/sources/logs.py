@@ -2,8 +2,8 @@
 
 Logs land as JSON (or Parquet) under one folder per source, partitioned by
 day (``dt=YYYY-MM-DD``).  Readers always pass an explicit schema, so nothing
-is inferred at 100 TB, and filter on the partition column, so only the
-requested days are listed and read.
+is inferred at 100 TB, and are handed only the requested day folders, so only
+those days are listed and read.
 """
 
 from __future__ import annotations
@@ -42,13 +42,40 @@ def read_raw(
     r = spark.read.format(fmt).schema(schema)
     if fmt == "json":
         r = r.option("timestampFormat", TS_FORMAT).option("mode", "PERMISSIVE")
-    df = r.load(path)
     ds = _dates(dates)
+    if ds is not None and _partitioned(path):
+        # Hand the reader only the requested day folders: a root path would
+        # make the file index list every file of every day first.
+        have = day_folders(spark, path)
+        paths = [f"{path.rstrip('/')}/{PARTITION}={d}" for d in sorted(set(ds)) if d in have]
+        if not paths:
+            return spark.createDataFrame([], schema).drop(PARTITION)
+        df = r.option("basePath", path).load(paths)
+    else:
+        df = r.load(path)
     if ds is not None and PARTITION in df.columns:
         df = df.where(F.col(PARTITION).isin(*ds))
     return df.drop(PARTITION) if PARTITION in df.columns else df
 
 
+def day_folders(spark: SparkSession, root: str | None) -> set[str]:
+    """Days present under ``root`` (``dt=`` folder names), from one directory
+    listing — folder names only, no file listing; empty if ``root`` is missing."""
+    if not root:
+        return set()
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return set()
+    prefix = f"{PARTITION}="
+    return {
+        st.getPath().getName()[len(prefix):]
+        for st in fs.listStatus(p)
+        if st.isDirectory() and st.getPath().getName().startswith(prefix)
+    }
+
+
 def _partitioned(path) -> bool:
     # Partition discovery adds ``dt`` for a folder root; explicit file lists
     # (SRC3) carry no partition column.
@@ -79,20 +106,38 @@ def read_logs(
     """SRC4: clean logs from the preferred source, falling back to the other.
 
     ``k`` — Kafka dump first, then archive; ``h`` — archive first, then Kafka;
-    ``f`` — the given files, read as Kafka-dump records.  A source whose path
-    does not exist raises at analysis time and the other one is tried.
+    ``f`` — the given files, read as Kafka-dump records.  With ``dates`` the
+    choice is made per day, as the original did day by day: each day comes
+    from the preferred source if its day folder exists there, else from the
+    other; the days of each source are read in one scan and the two cleaned
+    parts are unioned.  Without ``dates`` a source whose path does not exist
+    raises at analysis time and the other one is tried.
     """
     src = (source or "k").lower()
     if src == "f":
         return clean_kafka(read_raw(spark, files or [], "kafka", fmt))
-    kafka = lambda: clean_kafka(read_raw(spark, kafka_path, "kafka", fmt, dates))
-    archive = lambda: clean_archive(read_raw(spark, archive_path, "archive", fmt, dates))
-    if src == "k":
-        order = [kafka, archive]
-    elif src == "h":
-        order = [archive, kafka]
-    else:
+    if src not in ("k", "h"):
         raise ValueError(f"unknown log source {source!r}; use 'k', 'h' or 'f'")
+    kafka = lambda ds=dates: clean_kafka(read_raw(spark, kafka_path, "kafka", fmt, ds))
+    archive = lambda ds=dates: clean_archive(read_raw(spark, archive_path, "archive", fmt, ds))
+    order = [(kafka, kafka_path), (archive, archive_path)]
+    if src == "h":
+        order.reverse()
+    ds = _dates(dates)
+    if ds is not None and all(p is None or _partitioned(p) for _, p in order):
+        todo, parts = sorted(set(ds)), []
+        for read, root in order:
+            here = [d for d in todo if d in day_folders(spark, root)]
+            if here:
+                parts.append(read(here))
+                todo = [d for d in todo if d not in here]
+        if not parts:
+            raise FileNotFoundError(f"no log folder for {ds} under {kafka_path} or {archive_path}")
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    order = [read for read, _ in order]
     last: Exception | None = None
     for attempt in order:
         try:
