@@ -69,6 +69,18 @@ def test_partition_filter_prunes_days(spark, tmp_dir):
     assert df.select(F.to_date("received_at").cast("string")).distinct().collect()[0][0] == "2024-01-05"
 
 
+def test_views_read_lists_only_wanted_folders(spark, tmp_dir):
+    views = fixtures.views(spark, SF)
+    root = f"{tmp_dir}/views"
+    view_src.write_views(views, root)
+    df = view_src.read_views(spark, root, devices=["box", "tv"], start="2024-01-03", end="2024-01-04")
+    files = df.inputFiles()
+    assert files and all("device=box/day=2024-01-0" in f for f in files)
+    assert {f.split("day=")[1][:10] for f in files} == {"2024-01-03", "2024-01-04"}
+    none = view_src.read_views(spark, root, start="2030-01-01")
+    assert none.count() == 0 and none.columns == df.columns
+
+
 def test_views_orc_partitions_and_legacy_layout(spark, tmp_dir):
     views = fixtures.views(spark, SF)
     root = f"{tmp_dir}/views"

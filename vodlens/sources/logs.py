@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators.clean import clean_archive, clean_kafka
 from ..schema import RAW_ARCHIVE, RAW_KAFKA
+from .listing import partition_values
 
 # Microsecond event times survive a JSON round trip with this format.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -59,21 +60,8 @@ def read_raw(
 
 
 def day_folders(spark: SparkSession, root: str | None) -> set[str]:
-    """Days present under ``root`` (``dt=`` folder names), from one directory
-    listing — folder names only, no file listing; empty if ``root`` is missing."""
-    if not root:
-        return set()
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return set()
-    prefix = f"{PARTITION}="
-    return {
-        st.getPath().getName()[len(prefix):]
-        for st in fs.listStatus(p)
-        if st.isDirectory() and st.getPath().getName().startswith(prefix)
-    }
+    """Days present under ``root`` (``dt=`` folder names)."""
+    return partition_values(spark, root, PARTITION)
 
 
 def _partitioned(path) -> bool:

@@ -1,8 +1,9 @@
 """Per-device view logs stored as ORC (SRC9).
 
-Layout: ``<root>/device=<name>/day=<yyyy-MM-dd>/*.orc``.  One ``read.orc`` of
-the root; device and day filters prune folders (``PartitionFilters`` in the
-plan) instead of building one path per device and day.  The older layout of
+Layout: ``<root>/device=<name>/day=<yyyy-MM-dd>/*.orc``.  One ``read.orc``
+over the wanted device/day folders (named by folder listings, so other days'
+files are never listed); the device and day filters stay in the plan
+(``PartitionFilters``).  The older layout of
 plain day folders is read from a path list, with device and day taken from
 each file's path.
 """
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import VIEWS
+from .listing import partition_values
 
 DATA_COLUMNS = [f for f in VIEWS.fields if f.name not in ("device", "day")]
 
@@ -32,7 +34,24 @@ def read_views(
     start: str | None = None,
     end: str | None = None,
 ) -> DataFrame:
-    df = spark.read.schema(VIEWS).orc(root)
+    r = spark.read.schema(VIEWS)
+    if devices is None and start is None and end is None:
+        df = r.orc(root)
+    else:
+        # Only the wanted device=/day= folders reach the file index.
+        base = root.rstrip("/")
+        wanted = partition_values(spark, base, "device")
+        if devices is not None:
+            wanted &= set(devices)
+        paths = [
+            f"{base}/device={dev}/day={d}"
+            for dev in sorted(wanted)
+            for d in sorted(partition_values(spark, f"{base}/device={dev}", "day"))
+            if (start is None or d >= start) and (end is None or d <= end)
+        ]
+        if not paths:  # same columns, in the order a partitioned read gives
+            return spark.createDataFrame([], VIEWS).select(*[c.name for c in DATA_COLUMNS], "device", "day")
+        df = r.option("basePath", base).orc(paths)
     if devices is not None:
         df = df.where(F.col("device").isin(*list(devices)))
     if start is not None:
