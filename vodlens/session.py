@@ -79,8 +79,9 @@ def get_spark(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is read as is.  Only
-    when it is unset (local tests) do we create a folder of our own.
+    On a cluster this setting points at shared storage and is read as is; if
+    it is unset there we raise rather than use a machine-local folder.  Only a
+    local-mode session (tests) without it gets a folder of our own.
     """
     try:
         sc = spark.sparkContext
@@ -94,6 +95,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("spark.checkpoint.dir must name a shared folder")
         return path
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         path = tempfile.mkdtemp(prefix="vodlens-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
