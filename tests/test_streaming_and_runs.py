@@ -8,6 +8,7 @@ from vodlens.plans.catalog import Inputs
 from vodlens.sources import fixtures
 from vodlens.sources import logs as log_src
 from vodlens.streaming import file_log_stream, start_ingest
+from vodlens.streaming.ingest import clean_kafka_values
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,6 +32,19 @@ def test_ingest_matches_batch_clean_and_resumes(spark, tmp_dir):
     assert got.select(*want.columns).exceptAll(want).count() == 0
 
 
+def test_kafka_values_parse_to_the_batch_clean_logs(spark):
+    # Records as a producer puts them on the topic: JSON bytes in ``value``.
+    raw = fixtures.raw_kafka_logs(spark, SF)
+    values = raw.select(
+        F.to_json(F.struct("received_at", "fields"), {"timestampFormat": log_src.TS_FORMAT})
+        .cast("binary")
+        .alias("value")
+    )
+    got, want = clean_kafka_values(values), clean_kafka(raw)
+    assert got.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_parse_jobs_and_dates():
     assert parse_jobs("k,2,10") == ("k", [2, 10])
     assert parse_jobs("h")[1] == sorted(JOBS)  # source only → all jobs

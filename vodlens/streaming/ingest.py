@@ -42,14 +42,21 @@ def file_log_stream(
 def kafka_log_stream(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     """Streaming clean logs from a Kafka topic whose values are JSON records
     ``{received_at, fields}`` (needs the spark-sql-kafka package)."""
-    raw = (
+    records = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .load()
-        .select(F.from_json(F.col("value").cast("string"), RAW_KAFKA, {"timestampFormat": TS_FORMAT}).alias("r"))
-        .select("r.*")
     )
+    return clean_kafka_values(records)
+
+
+def clean_kafka_values(records: DataFrame) -> DataFrame:
+    """Kafka ``value`` bytes (JSON records) → clean logs; the same expressions
+    run on a stream or on a batch of landed values."""
+    raw = records.select(
+        F.from_json(F.col("value").cast("string"), RAW_KAFKA, {"timestampFormat": TS_FORMAT}).alias("r")
+    ).select("r.*")
     return clean_kafka(raw)
 
 
