@@ -115,7 +115,8 @@ def read_logs(
     if ds is not None and all(p is None or _partitioned(p) for _, p in order):
         todo, parts = sorted(set(ds)), []
         for read, root in order:
-            here = [d for d in todo if d in day_folders(spark, root)]
+            present = day_folders(spark, root)  # one listing per source
+            here = [d for d in todo if d in present]
             if here:
                 parts.append(read(here))
                 todo = [d for d in todo if d not in here]
