@@ -84,36 +84,56 @@ def test_folder_report_matches_pandas_under_skew(spark, skewed):
     assert ((a["TotalDuration"] - b["TotalDuration"]).abs() < 1e-6).all()
 
 
-def test_hot_movie_is_split_by_aqe_when_the_catalogue_is_not_broadcast(spark):
-    i = Inputs(spark, SF)
-    logs = i.logs.where(F.col("LogId") == "52")
-    # every third finished view is of movie 7 (which has a folder)
-    logs = logs.withColumn("ItemId", F.when(F.hash("ts", "CustomerID") % 3 == 0, F.lit("7")).otherwise(F.col("ItemId")))
-    # AQE splits a skewed partition at map-task boundaries; the fixture file is
-    # one row group (one task), a real log has many input splits.
-    logs = logs.repartition(8)
-    assert logs.where(F.col("ItemId") == "7").count() / logs.count() > 0.3
-    small = joins.with_folders(logs, i.listfolder)
-    _plan(small)
-    conf = {
-        joins.CONF_KEY: "10",  # catalogue over the broadcast bound
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
-    }
-    old = {k: spark.conf.get(k, None) for k in conf}
-    for k, v in conf.items():
+SKEW_CONF = {
+    joins.CONF_KEY: "10",  # dimension over the broadcast bound
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1024",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1024",
+}
+
+
+def _split_by_aqe(spark, build):
+    """Run ``build()`` broadcast and then as a shuffle join with skew
+    thresholds scaled to the fixture; return (final plan, same result)."""
+    small = build()
+    small.collect()
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
         spark.conf.set(k, v)
     try:
-        large = joins.with_folders(logs, i.listfolder)
+        large = build()
         large.collect()  # runs this frame's own adaptive plan to its final form
         plan = large._jdf.queryExecution().executedPlan().toString()
-        assert "isFinalPlan=true" in plan
-        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
-        assert "skew=true" in plan  # the hot movie's partition was split
-        assert _same(small, large)
+        return plan, _same(small, large)
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def _hot(logs, col, value):
+    logs = logs.withColumn(col, F.when(F.hash("ts", "Session") % 3 == 0, F.lit(value)).otherwise(F.col(col)))
+    # AQE splits a skewed partition at map-task boundaries; the fixture file is
+    # one row group (one task), a real log has many input splits.
+    logs = logs.repartition(8)
+    assert logs.where(F.col(col) == value).count() / logs.count() > 0.3
+    return logs
+
+
+def test_hot_movie_is_split_by_aqe_when_the_catalogue_is_not_broadcast(spark):
+    i = Inputs(spark, SF)
+    logs = _hot(i.logs.where(F.col("LogId") == "52"), "ItemId", "7")  # movie 7 has a folder
+    plan, same = _split_by_aqe(spark, lambda: joins.with_folders(logs, i.listfolder))
+    assert "isFinalPlan=true" in plan and "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert "skew=true" in plan  # the hot movie's partition was split
+    assert same
+
+
+def test_hot_customer_row_join_is_split_by_aqe_when_customers_are_not_broadcast(spark):
+    i = Inputs(spark, SF)
+    logs = _hot(i.logs.where(F.col("LogId") == "52"), "CustomerID", "7")
+    plan, same = _split_by_aqe(spark, lambda: joins.with_customers(logs, i.cus))
+    assert "isFinalPlan=true" in plan and "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert "skew=true" in plan
+    assert same
