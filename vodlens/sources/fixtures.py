@@ -155,7 +155,13 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movie_folders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The two catalogue tables behind the movie→folder lookup (SRC6)."""
+    """The two catalogue tables behind the movie→folder lookup (SRC6).
+
+    Which parts each catalogue lists is its *membership rule*: a ninth of the
+    movies are in neither (their views keep a NULL folder in the LEFT join)
+    and a tenth are also in the series catalogue (a second folder: fan-out).
+    It shapes the dimension only; every log row still reaches the reports.
+    """
     p = table(spark, sf_dir, "part")
     movies = p.where(F.col("p_partkey") % 9 != 0).select(
         F.col("p_partkey").alias("ID"), F.col("p_size").cast("int").alias("Folder")
