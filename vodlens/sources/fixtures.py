@@ -158,8 +158,9 @@ def movie_folders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
     """The two catalogue tables behind the movie→folder lookup (SRC6).
 
     Which parts each catalogue lists is its *membership rule*: a ninth of the
-    movies are in neither (their views keep a NULL folder in the LEFT join)
-    and a tenth are also in the series catalogue (a second folder: fan-out).
+    parts are missing from the movie catalogue (those not in the series one
+    either keep a NULL folder in the LEFT join) and a tenth are listed in the
+    series catalogue (with the movie folder too: fan-out).
     It shapes the dimension only; every log row still reaches the reports.
     """
     p = table(spark, sf_dir, "part")
