@@ -36,6 +36,10 @@ DEFAULT_CONF = {
     # numbers to error messages) costs ~1 ms per call while building plans.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Checkpoints (cut lineage of clean logs, ranged payload rows) are deleted
+    # from the shared folder once nothing references them, so nightly runs do
+    # not accumulate files there.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 # Applied when the session starts (client-side flags are read once).
@@ -43,6 +47,7 @@ STARTUP_CONF = (
     "spark.ui.enabled",
     "spark.python.sql.dataFrameDebugging.enabled",
     "spark.ui.showConsoleProgress",
+    "spark.cleaner.referenceTracking.cleanCheckpoints",
 )
 
 
