@@ -57,8 +57,12 @@ def get_spark(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Get or create the session; explicit ``extra``/``shuffle_partitions`` win,
-    package defaults only fill settings that ``spark-submit`` left unset."""
+    """Get or create the session; explicit ``extra``/``shuffle_partitions`` win.
+
+    The start-up settings (UI and console progress off, checkpoint cleaning)
+    are always applied when this call creates the context — the UI is never
+    served.  All other package defaults only fill settings that
+    ``spark-submit`` left unset."""
     builder = SparkSession.builder.appName(app)
     for k in STARTUP_CONF:
         builder = builder.config(k, DEFAULT_CONF[k])
