@@ -222,11 +222,17 @@ def test_pivot_rows_to_xml_payload(spark):
     assert vouchers.xml_payloads(rows.limit(0), order_col=None).count() == 0
 
 
-def test_xml_payloads_bounded_with_a_hot_id(spark):
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_xml_payloads_bounded_with_a_hot_id(spark, shuffled):
     # id 5 has a third of all rows: chunks are cut by position, not by id.
+    # ``shuffled``: the input comes out of a shuffle, so a recomputation would
+    # see other arrival orders — positions must still be exact.
     n = 3000
     ids = F.when(F.col("id") % 3 == 0, F.lit(5)).otherwise(F.col("id"))
-    rows = spark.range(0, n, numPartitions=5).select(
+    src = spark.range(0, n, numPartitions=5)
+    if shuffled:
+        src = src.repartition(7, F.col("id") % 11)
+    rows = src.select(
         ids.alias("id"), F.concat(F.lit('<T ID="'), ids.cast("string"), F.lit('" R="'), F.col("id").cast("string"), F.lit('"/>')).alias("xml")
     )
     pay = vouchers.xml_payloads(rows, chunk_rows=100).orderBy("chunk").collect()
