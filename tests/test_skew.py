@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from vodlens.operators import folder, joins, pageview, recsys, submenu
+from vodlens.operators import folder, joins, menu, movie, pageview, recsys, submenu
 from vodlens.plans.catalog import Inputs
 
 SF = "/root/testdata/sf0.01"
@@ -32,7 +32,14 @@ def _plan(df):
 
 REPORTS = {
     "vod_by_folder": lambda l, i: folder.vod_by_folder(l, i.cus, i.listfolder),
+    "vod_by_folder_level": lambda l, i: folder.vod_by_folder_level(l, i.cus, i.listfolder),
+    "sessions_by_location": lambda l, i: folder.sessions_by_location(l, i.cus, i.listfolder),
+    "vod_by_movie_chapter": lambda l, i: movie.vod_by_movie_chapter(l, i.cus),
+    "vod_by_movie": lambda l, i: movie.vod_by_movie(l, i.cus),
+    "customers_by_location": lambda l, i: movie.customers_by_location(l, i.cus),
+    "vod_by_main_menu": lambda l, i: menu.vod_by_main_menu(l, i.cus),
     "unique_pageview": lambda l, i: pageview.unique_pageview(l, i.cus),
+    "recsys_impressions": lambda l, i: recsys.recsys_impressions(l, i.cus),
     "recsys_conversion": lambda l, i: recsys.recsys_conversion(l, i.cus),
     "submenu_behaviours": lambda l, i: submenu.submenu_behaviours(l, i.cus),
 }
