@@ -46,3 +46,10 @@ def text_bytes(docs: DataFrame, col: str = "text") -> int:
 def parts_for(n_bytes: int, per_part: int, least: int = 8) -> int:
     """Partitions so that each holds about ``per_part`` bytes, at any input size."""
     return max(least, -(-int(n_bytes) // per_part))
+
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """Place of a public vocabulary file; installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -3,9 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, quality
-from .common import cut, read_table
+from . import mixing, packing, pii, quality, toxicity
+from .common import cut, read_table, tokenizer_path
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.scores(docs, model)
+    return scored.withColumn("held_out", toxicity.held_out())
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +24,22 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "quality.*")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = cut(mixing.weighed(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "quality_weight"))
     mixed = mixing.mix(docs, mixing.mixture_plan(docs))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs", "quality_weight")
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cands = pii.candidates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = pii.spans(cands, pii.fit_trees(cands))
+    base = F.filter("spans", lambda s: s["base"])
+    count = lambda k: F.size(F.filter(base, lambda s: s["kind"] == k)).cast("long").alias(f"n_{k}")
+    counts = [count(k) for k in pii.BASE_KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list(F.col("spans")).alias("spans")
+    )

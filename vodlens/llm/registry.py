@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from . import queries as q
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": q.op1_toxicity,
     "op2_quality_rules": q.op2_quality_rules,
+    "op6_packing": q.op6_packing,
     "op8_mixing": q.op8_mixing,
+    "op10_pii": q.op10_pii,
 }
 
 ORACLE_SQL: dict[str, str] = {}
