@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, pii, quality, toxicity
+from . import mixing, packing, pii, quality, substring, suffix, toxicity
 from .common import cut, read_table, tokenizer_path
 
 
@@ -24,8 +24,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "quality.*")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.without_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +38,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "epochs", "quality_weight")
 
 
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.without_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     cands = pii.candidates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     found = pii.spans(cands, pii.fit_trees(cands))

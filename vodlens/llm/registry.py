@@ -11,6 +11,7 @@ from . import queries as q
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": q.op1_toxicity,
     "op2_quality_rules": q.op2_quality_rules,
+    "op3_suffix_dedup": q.op3_suffix_dedup,
     "op6_packing": q.op6_packing,
     "op8_mixing": q.op8_mixing,
     "op9_substring": q.op9_substring,
