@@ -89,16 +89,22 @@ def gather(buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray
 
 
 def pack_arrays(*arrays: np.ndarray) -> bytes:
-    """Arrays as one compressed blob; zstd level 1 on prose halves it."""
-    parts = [np.array([a.nbytes for a in arrays], dtype="<i8").tobytes()] + [np.ascontiguousarray(a).tobytes() for a in arrays]
+    """Arrays as one compressed blob, numbers byte plane by byte plane: the planes
+    of small or similar numbers then cost next to nothing."""
+    planes = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays]
+    parts = [np.array([len(x) for x in planes], dtype="<i8").tobytes(), *planes]
     return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
 
 
 def unpack_arrays(blob: bytes, dtypes: list[str]) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
-    sizes = np.frombuffer(raw, dtype="<i8", count=len(dtypes))
-    ends = np.cumsum(sizes) + 8 * len(dtypes)
-    return [np.frombuffer(raw, dtype=d, count=int(s) // np.dtype(d).itemsize, offset=int(e - s)) for d, s, e in zip(dtypes, sizes, ends, strict=True)]
+    out, at = [], 8 * len(dtypes)
+    for d, size in zip(dtypes, np.frombuffer(raw, dtype="<i8", count=len(dtypes)).tolist(), strict=True):
+        width = np.dtype(d).itemsize
+        planes = np.frombuffer(raw, dtype=np.uint8, count=size, offset=at).reshape(width, size // width)
+        out.append(np.ascontiguousarray(planes.T).view(d).ravel())
+        at += size
+    return out
 
 
 def runs_of(flags: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,18 +131,27 @@ def cut_spans(docs: DataFrame, spans: DataFrame, cutter: Callable, schema: str,
 
     ``cutter(bytes, spans)`` returns the values of ``schema`` (kept text last)."""
     per_doc = spans.groupBy("_pos").agg(F.collect_list(F.struct("a", "b")).alias("_spans")).withColumnRenamed("_pos", "_of")
-    joined = docs.join(per_doc, F.col("_pos") == F.col("_of"), "left").select("doc_id", "_bytes", "_spans")
     kind = dict(docs.dtypes)["doc_id"]
+
+    def shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:  # texts cross the shuffle compressed
+        press = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([press(t.as_py()) for t in b.column(2)], pa.binary())], names=["_pos", "doc_id", "_bytes"])
+
+    small = docs.select("_pos", "doc_id", "_bytes").mapInArrow(shrink, f"_pos long, doc_id {kind}, _bytes binary")
+    joined = small.join(per_doc, F.col("_pos") == F.col("_of"), "left").select("doc_id", "_bytes", "_spans")
     names = ["doc_id"] + [c.split()[0] for c in schema.split(", ")] + ["kept_sha256"] + (["kept_text"] if with_text else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        restore = zstandard.ZstdDecompressor().decompress
         for whole in batches:
             for i in range(0, whole.num_rows, 512):
                 b = whole.slice(i, 512)
                 rows = []
                 for t, s in zip(b.column(1), b.column(2), strict=True):
                     found = [(x["a"], x["b"]) for x in s.as_py() or []]
-                    *values, kept = cutter(t.as_py(), merged(found))
+                    *values, kept = cutter(restore(t.as_py()), merged(found))
                     rows.append([*values, hashlib.sha256(kept).hexdigest()] + ([kept.decode("utf-8", "replace")] if with_text else []))
                 cols = [pa.array(list(c)) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column(0), *cols], names=names)

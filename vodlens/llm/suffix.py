@@ -4,7 +4,7 @@ Suffixes are sorted from sampled places: in each 100-byte window the 16-byte run
 with the least hash is its anchor, equal windows have equal anchors, and one
 suffix per anchor stands for all windows around it.  A suffix string runs from
 the anchor to the end of its last window, followed by the bytes before the anchor
-back to the start of its first window.
+back to the start of its first window (in rows of fixed width, zeros beyond).
 
 A task sorts the suffix strings of its texts and sends them, dealt by the anchor's
 bytes, as front-coded runs (bytes shared with the string before, then the rest).
@@ -33,6 +33,7 @@ from .segments import chunks, cut_spans, mix, pack_arrays, runs_of, super_window
 
 WINDOW, SEED_BYTES, BUCKET_BYTES = 100, 16, 8 << 20
 BEFORE = WINDOW - SEED_BYTES  # most bytes before an anchor
+WIDTH = WINDOW + BEFORE
 DTYPES = ["<i8", "<i4", "u1", "u1", "u1", "u1"]
 
 
@@ -51,35 +52,60 @@ def _seeds(buf: np.ndarray) -> np.ndarray:
     return mix(mix(e[:-8]) + e[8:] * np.uint64(0x9E3779B97F4A7C15)) if len(e) > 8 else np.zeros(0, np.uint64)
 
 
-def _matrix(buf: np.ndarray, start: np.ndarray, length: np.ndarray, width: int, step: int = 1) -> np.ndarray:
-    """Rows of bytes from ``start`` on (or back), zero beyond ``length``."""
-    cols = np.arange(width)
-    at = np.clip(start[:, None] + step * cols, 0, len(buf) - 1)
-    return np.where(cols < length[:, None], buf[at], np.uint8(0))
+def _rows(buf: np.ndarray, anchor: np.ndarray, after: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """One suffix string per row: ``WINDOW`` bytes from the anchor on, then
+    ``BEFORE`` bytes back from it; zeros beyond the own windows."""
+    room = bytes(WINDOW)
+    ahead = np.frombuffer(buf.tobytes() + room, dtype=np.uint8)
+    behind = np.frombuffer(buf[::-1].tobytes() + room, dtype=np.uint8)
+    rows = np.empty((len(anchor), WIDTH), dtype=np.uint8)
+    rows[:, :WINDOW] = np.lib.stride_tricks.sliding_window_view(ahead, WINDOW)[anchor]
+    rows[:, WINDOW:] = np.lib.stride_tricks.sliding_window_view(behind, BEFORE)[len(buf) - anchor]
+    rows[~_own(after, before)] = 0
+    return rows
 
 
-def _front_coded(rows: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes shared with the row before, the rest of all rows)."""
-    shared = np.zeros(len(rows), dtype=np.int64)
+def _own(after: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """Which bytes of the rows belong to their windows."""
+    own = np.empty((len(after), WIDTH), dtype=bool)
+    own[:, :WINDOW] = np.arange(WINDOW, dtype=np.uint8) < after.astype(np.uint8)[:, None]
+    own[:, WINDOW:] = np.arange(BEFORE, dtype=np.uint8) < before.astype(np.uint8)[:, None]
+    return own
+
+
+def _order(rows: np.ndarray, bucket: np.ndarray) -> np.ndarray:
+    """Rows sorted by bucket, then bytes: by the first 16 bytes as numbers, and
+    whole only among rows that agree in those."""
+    heads = np.ascontiguousarray(rows[:, :16]).view(">u8").astype(np.uint64)
+    order = np.lexsort((heads[:, 1], heads[:, 0], bucket))
+    tied = np.append(False, (heads[order][1:] == heads[order][:-1]).all(axis=1))
+    group = np.cumsum(~tied)
+    many = tied | np.append(tied[1:], False)
+    part = order[many]
+    if len(part):
+        _, rank = np.unique(rows[part].view(f"S{WIDTH}").ravel(), return_inverse=True)
+        order[many] = part[np.lexsort((rank, group[many]))]
+    return order
+
+
+def _front_coded(rows: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes shared with the row before, the rest of all rows' own bytes)."""
+    shared = np.zeros(len(rows), dtype=np.uint8)
     if len(rows) > 1:
         differ = rows[1:] != rows[:-1]
-        first = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
-        shared[1:] = np.minimum(first, np.minimum(length[1:], length[:-1]))
-    cols = np.arange(rows.shape[1])
-    return shared, rows[(cols >= shared[:, None]) & (cols < length[:, None])]
-
-
-def _decoded(shared: np.ndarray, length: np.ndarray, rest: np.ndarray) -> np.ndarray:
-    """The rows again: column by column, the last row that wrote the column holds."""
-    width = int(length.max())
-    cols = np.arange(width)
-    rows = np.zeros((len(shared), width), dtype=np.uint8)
-    rows[(cols >= shared[:, None]) & (cols < length[:, None])] = rest
-    at = np.arange(len(shared))
-    for c in range(width):
-        own = np.maximum.accumulate(np.where(shared <= c, at, 0))
-        rows[:, c] = np.where(c < length, rows[own, c], 0)
-    return rows
+        shared[1:] = np.where(differ.any(axis=1), differ.argmax(axis=1), WIDTH)
+    return shared, rows[own & (np.arange(WIDTH, dtype=np.uint8) >= shared[:, None])]
+
+
+def _decoded(shared: np.ndarray, written: np.ndarray, wanted: np.ndarray, start: int, end: int) -> np.ndarray:
+    """Columns start to end of the wanted rows; in each column the last row that
+    wrote it holds (``written``: own bytes beyond the shared ones, else zeros)."""
+    out = np.zeros((len(wanted), end - start), dtype=np.uint8)
+    at = np.arange(len(shared), dtype=np.int32)
+    for c in range(start, end):
+        last = np.maximum.accumulate(np.where(shared <= c, at, np.int32(0)))
+        out[:, c - start] = written[last[wanted], c]
+    return out
 
 
 def _sent(pos: np.ndarray, texts: list[bytes], buckets: int):
@@ -95,28 +121,24 @@ def _sent(pos: np.ndarray, texts: list[bytes], buckets: int):
     if not len(s):
         return
     after, before = e + WINDOW - a, a - s
-    rows = _matrix(buf, a, after, WINDOW)
-    rows = np.concatenate([rows, np.zeros((len(rows), BEFORE), np.uint8)], axis=1)
-    back = _matrix(buf, a - 1, before, BEFORE, -1)
-    cols = np.arange(BEFORE)
-    inside = cols < before[:, None]
-    r, c = np.nonzero(inside)
-    rows[r, after[r] + c] = back[r, c]
-    length = after + before
+    rows = _rows(buf, a, after, before)
     place, at = pos[doc_of[s]], s - (end - size)[doc_of[s]]
     bucket = (mix(seeds[a] + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((at, place, length, rows.view(f"S{rows.shape[1]}").ravel(), bucket))
-    rows, length, after, place, at, bucket, more = (x[order] for x in (rows, length, after, place, at, bucket, e - s))
-    same = np.zeros(len(rows), dtype=bool)
-    same[1:] = (rows[1:] == rows[:-1]).all(axis=1) & (length[1:] == length[:-1]) & (after[1:] == after[:-1])
+    by_place = np.lexsort((at, place))  # so that of equal strings the first place comes first
+    order = by_place[_order(rows[by_place], bucket[by_place])]
+    rows, after, before, place, at, bucket = (x[order] for x in (rows, after, before, place, at, bucket))
+    same = np.append(False, (after[1:] == after[:-1]) & (before[1:] == before[:-1]))
+    near = np.flatnonzero(same)
+    same[near] = (rows[near] == rows[near - 1]).all(axis=1)
     if same.any():
-        yield -1, pack_arrays(place[same], at[same].astype("<i4"), more[same].astype("u1"))
-    rows, length, after, place, at, bucket = (x[~same] for x in (rows, length, after, place, at, bucket))
+        yield -1, pack_arrays(place[same], at[same].astype("<i4"), (after + before - WINDOW)[same].astype("u1"))
+    rows, after, before, place, at, bucket = (x[~same] for x in (rows, after, before, place, at, bucket))
+    own = _own(after, before)
     cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
     for x, y in zip(cuts, np.append(cuts[1:], len(bucket)), strict=True):
-        shared, rest = _front_coded(rows[x:y], length[x:y])
+        shared, rest = _front_coded(rows[x:y], own[x:y])
         yield int(bucket[x]), pack_arrays(
-            place[x:y], at[x:y].astype("<i4"), after[x:y].astype("u1"), (length - after)[x:y].astype("u1"), shared.astype("u1"), rest)
+            place[x:y], at[x:y].astype("<i4"), after[x:y].astype("u1"), before[x:y].astype("u1"), shared, rest)
 
 
 def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[int, int, int]]:
@@ -182,55 +204,52 @@ def merge_runs(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[int,
 def _repeats(blobs: list[bytes]):
     """(place, first byte, end byte) of the repeated bytes of one bucket."""
     none = (np.zeros(0, np.int64),) * 3
-    parts = []
+    parts, heads = [], []
     for b in blobs:
         place, at, after, before, shared, rest = unpack_arrays(b, DTYPES)
-        length = after.astype(np.int64) + before
-        parts.append([place, at.astype(np.int64), after.astype(np.int64), length, shared.astype(np.int64), _decoded(shared, length, rest)])
-    heads = np.concatenate([mix(p[5][:, :8].copy().view("<u8").ravel()) + p[5][:, 8:16].copy().view("<u8").ravel() for p in parts])
-    _, back, count = np.unique(heads, return_inverse=True, return_counts=True)
+        written = np.zeros((len(place), WIDTH), dtype=np.uint8)
+        written[_own(after, before) & (np.arange(WIDTH, dtype=np.uint8) >= shared[:, None])] = rest
+        head = _decoded(shared, written, np.arange(len(place)), 0, 16)
+        heads.append(mix(head[:, :8].copy().view("<u8").ravel()) + head[:, 8:].copy().view("<u8").ravel())
+        parts.append((place, at.astype(np.int64), after.astype(np.int64), before.astype(np.int64), shared, written, head))
+    _, back, count = np.unique(np.concatenate(heads), return_inverse=True, return_counts=True)
     live, seen, runs, kept = count[back] > 1, 0, [], []
-    for place, at, after, length, shared, rows in parts:  # strings whose anchor stands alone match nothing
-        mine = np.flatnonzero(live[seen:seen + len(place)])
+    for place, at, after, before, shared, written, head in parts:
+        mine = np.flatnonzero(live[seen:seen + len(place)])  # strings whose anchor stands alone match nothing
         seen += len(place)
         if not len(mine):
             continue
-        shared = np.minimum.reduceat(shared[:mine[-1] + 1], np.append(0, mine[:-1] + 1))  # least over the strings left out
-        shared[0] = 0
-        strings = [r[:n] for r, n in zip(map(bytes, rows[mine]), length[mine].tolist(), strict=True)]
-        runs.append((strings, shared.tolist()))
-        kept.append((place[mine], at[mine], after[mine], length[mine], rows[mine]))
+        whole = np.concatenate([head[mine], _decoded(shared, written, mine, 16, WIDTH)], axis=1)
+        least = np.minimum.reduceat(shared[:mine[-1] + 1], np.append(0, mine[:-1] + 1))  # over the strings left out
+        least[0] = 0
+        runs.append(([r.tobytes() for r in whole], least.tolist()))
+        kept.append((place[mine], at[mine], after[mine], before[mine], whole))
     if not runs:
         return none
     first = np.cumsum([0] + [len(s) for s, _ in runs])
     put = np.array([(first[r] + i, lcp) for r, i, lcp in merge_runs(runs)], dtype=np.int64)
-    width = max(x[4].shape[1] for x in kept)
-    rows = np.concatenate([np.pad(x[4], ((0, 0), (0, width - x[4].shape[1]))) for x in kept])[put[:, 0]]
-    place, at, after, length = (np.concatenate([x[i] for x in kept])[put[:, 0]] for i in range(4))
-    lcp = put[:, 1]
-    before, n = length - after, len(place)
+    place, at, after, before = (np.concatenate([x[i] for x in kept])[put[:, 0]] for i in range(4))
+    back_bytes = np.concatenate([x[4][:, WINDOW:] for x in kept])[put[:, 0]]
+    level, anchor, n = put[:, 1], at + before, len(place)
+    by_place = np.lexsort((anchor, place))  # earliest first, at every distance alike
     repeat = np.zeros((n, BEFORE + 1), dtype=bool)  # by distance of the window's start from the anchor
     left = np.zeros(n, dtype=np.uint64)
     for d in range(BEFORE + 1):
         if d:  # one more byte before the anchor
-            has = before >= d
-            byte = rows[np.arange(n), np.minimum(after + d - 1, rows.shape[1] - 1)].astype(np.uint64)
-            left = np.where(has, mix(left * np.uint64(0x100000001B3) + byte + np.uint64(1)), left)
-        fits = np.flatnonzero((d <= before) & (after >= WINDOW - d))
+            left = mix(left * np.uint64(0x100000001B3) + back_bytes[:, d - 1] + np.uint64(1))
+        cluster = np.cumsum(level < WINDOW - d).astype(np.uint64)
+        fits = by_place[((d <= before) & (after >= WINDOW - d))[by_place]]
         if len(fits) < 2:
             continue
-        cluster = np.cumsum(lcp < WINDOW - d)[fits].astype(np.uint64)
-        key = left[fits] ^ mix(cluster * np.uint64(0x9E3779B97F4A7C15) + np.uint64(d))
-        start = at[fits] + before[fits] - d
-        order = np.lexsort((start, place[fits], key))
-        again = np.zeros(len(order), dtype=bool)
-        again[1:] = key[order][1:] == key[order][:-1]
+        key = left[fits] ^ mix(cluster[fits] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(d))
+        order = np.argsort(key, kind="stable")
+        again = np.append(False, key[order][1:] == key[order][:-1])
         repeat[fits[order[again]], d] = True
     flags = repeat[:, ::-1].ravel()  # now in the order of the text
     group = np.repeat(np.arange(n), BEFORE + 1)
     x, y = runs_of(flags, group)
-    anchor = (at + before)[group[x]]
-    return place[group[x]], anchor - BEFORE + x % (BEFORE + 1), anchor - BEFORE + y % (BEFORE + 1) + WINDOW
+    least = anchor[group[x]] - BEFORE
+    return place[group[x]], least + x % (BEFORE + 1), least + y % (BEFORE + 1) + WINDOW
 
 
 def repeated_spans(docs: DataFrame, buckets: int) -> DataFrame:
