@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, packing, pii, quality, substring, suffix, toxicity
+from . import jaccard, mixing, packing, pii, quality, substring, suffix, toxicity
 from .common import cut, read_table, tokenizer_path
 
 
@@ -32,6 +32,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("byte_bpe_50k.tiktoken"))
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = cut(mixing.weighed(read_table(spark, sf_dir, "documents")).select("doc_id", "source", "size", "quality_weight"))
     mixed = mixing.mix(docs, mixing.mixture_plan(docs))

@@ -13,6 +13,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": q.op2_quality_rules,
     "op3_suffix_dedup": q.op3_suffix_dedup,
     "op6_packing": q.op6_packing,
+    "op7_jaccard": q.op7_jaccard,
     "op8_mixing": q.op8_mixing,
     "op9_substring": q.op9_substring,
     "op10_pii": q.op10_pii,
