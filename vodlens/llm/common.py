@@ -53,3 +53,12 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def shield(docs: DataFrame) -> DataFrame:
+    """Every column renamed, so that no operator's own names can clash."""
+    return docs.select(*[F.col(f"`{c}`").alias(f"_in_{c}") for c in docs.columns])
+
+
+def unshield(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col(f"`_in_{c}`").alias(c) for c in columns])

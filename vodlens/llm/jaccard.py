@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, parts_for, small, text_bytes
+from .common import cut, parts_for, shield, small, text_bytes, unshield
 from .segments import chunks, mix, pack_arrays, unpack_arrays, with_position
 from .substring import _words, sliding, word_hashes
 
@@ -315,3 +315,17 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
         F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
         (alone | (F.col("least._pos") == F.col("_pos"))).alias("is_first"),
     )
+
+
+def one_of_each(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` without the near copies: of each component the row with the least
+    id stays (of rows with one id, the least text), all columns unchanged."""
+    clash = docs.groupBy("doc_id").count().where("`count` > 1 or doc_id is null").limit(1).count()
+    inner = shield(docs)
+    if clash:
+        inner = cut(inner.orderBy(F.col("_in_doc_id").asc_nulls_last(), f"_in_{text}").withColumn("_row", F.monotonically_increasing_id()))
+    else:
+        inner = inner.withColumn("_row", F.col("_in_doc_id").cast("long"))
+    near = near_duplicates(inner.select(F.col("_row").alias("doc_id"), F.col(f"_in_{text}").alias("text")))
+    keep = near.where("is_first").select(F.col("doc_id").alias("_row"))
+    return unshield(inner.join(keep, "_row", "left_semi"), docs.columns)

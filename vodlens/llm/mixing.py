@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, n_words, small
+from .common import cut, n_words, shield, small, unshield
 
 KEY_BUCKETS = 4096
 MAX_EPOCHS = 3
@@ -125,9 +125,8 @@ def mix(docs: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
 def mixed_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """The mixture itself: each row of ``docs`` as often as the mix takes it, with
     the columns of ``docs``.  Documents without words are never taken."""
-    inner = docs.select(*[F.col(f"`{c}`").alias(f"_in_{c}") for c in docs.columns])
-    named = inner.withColumns({"doc_id": F.col("_in_doc_id"), "source": F.col("_in_source")})
+    named = shield(docs).withColumns({"doc_id": F.col("_in_doc_id"), "source": F.col("_in_source")})
     w = weighed(named, f"_in_{text}")
     plan = mixture_plan(cut(w.select("doc_id", "source", "size", "quality_weight")))
     taken = mix(w, plan).withColumn("_m_copy", F.explode(F.array_repeat(F.lit(1), F.when(F.col("size") > 0, F.col("copies")).otherwise(0))))
-    return taken.select(*[F.col(f"`_in_{c}`").alias(c) for c in docs.columns])
+    return unshield(taken, docs.columns)

@@ -21,7 +21,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, shield, unshield
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 # A match starts where a run starts or where the last match ended, and runs are
@@ -207,3 +207,13 @@ def span_list(chosen: Column) -> Column:
     order = F.array_sort(F.transform(chosen, lambda s: F.struct(
         rank(s["kind"]).alias("r"), s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))))
     return F.array_join(F.transform(order, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def redacted_documents(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` with every span redacted; ``n_chars``, if there, counts the new text."""
+    inner = f"_in_{text}"
+    cands = candidates(shield(docs), inner)
+    done = redacted(spans(cands, fit_trees(cands)), inner)
+    if "n_chars" in docs.columns:
+        done = done.withColumn("_in_n_chars", F.when(F.size("spans") > 0, F.length(inner).cast("long")).otherwise(F.col("_in_n_chars")))
+    return unshield(done, docs.columns)

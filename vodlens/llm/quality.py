@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words
+from .common import shield, unshield, words
 
 WINDOW = 8
 SYMBOLS = "#*$%&|<>"
@@ -139,9 +139,7 @@ def quality_scores(docs: DataFrame, ratios: list[float], text: str = "text", thr
 
 def quality_filter(docs: DataFrame, ratios: list[float], text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """The kept rows of ``docs``, all columns unchanged."""
-    own = docs.withColumnRenamed("quality", "_q_own")
-    scored = quality_scores(own, ratios, text, threshold).withColumn("_q_part", F.spark_partition_id())
+    scored = quality_scores(shield(docs), ratios, f"_in_{text}", threshold).withColumn("_q_part", F.spark_partition_id())
     # A filter that names a non-deterministic column stays above the scoring;
     # moved below it, the whole score would be computed a second time.
-    scored = scored.where("quality.kept and _q_part >= 0").drop("quality", "_q_part")
-    return scored.withColumnRenamed("_q_own", "quality").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return unshield(scored.where("quality.kept and _q_part >= 0"), docs.columns)
