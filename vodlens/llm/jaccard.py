@@ -76,7 +76,7 @@ def _class_of(s: np.ndarray) -> int:
 
 
 def _described(docs: DataFrame) -> DataFrame:
-    """(_pos, doc_id, n, class, heavy): ``heavy`` holds, on a chunk's first row,
+    """(_pos, doc_id, n, class, bitmap, heavy): ``heavy`` holds, on a chunk's first row,
     the shingles of several documents of the chunk with their counts."""
     kind = dict(docs.dtypes)["doc_id"]
     heavy = pa.list_(pa.struct([("h", pa.int64()), ("n", pa.int64())]))
@@ -99,12 +99,13 @@ def _described(docs: DataFrame) -> DataFrame:
             found = [{"h": int(v), "n": int(c)} for v, c in zip(value[often].view(np.int64), count[often], strict=True)]
             yield pa.RecordBatch.from_arrays([
                 pa.array(pos, pa.int64()), pa.array(ids[done:done + len(pos)], pa_kind), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array(classes, pa.int64()), pa.array([found] + [None] * (len(pos) - 1), heavy)], names=["_pos", "doc_id", "n", "class", "heavy"])
+                pa.array(classes, pa.int64()), pa.array([_bitmap(s) if len(s) else None for s in sets], pa.binary()),
+                pa.array([found] + [None] * (len(pos) - 1), heavy)], names=["_pos", "doc_id", "n", "class", "bitmap", "heavy"])
             done += len(pos)
 
     pa_kind = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(kind, pa.int64())
     return docs.select("_pos", "doc_id", "_bytes").mapInArrow(
-        run, f"_pos long, doc_id {kind}, n long, class long, heavy array<struct<h:long,n:long>>")
+        run, f"_pos long, doc_id {kind}, n long, class long, bitmap binary, heavy array<struct<h:long,n:long>>")
 
 
 def _prefix(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarray:
@@ -167,55 +168,52 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
     """(a, b): every class of a list with the smallest class of its tile."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:  # rows of a list are neighbours; a list cut by a batch makes two stars
-            token, owner, n = (b.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            if not len(token):
-                continue
-            hub = np.zeros(len(token), dtype=np.int64)
-            start, sizes, tokens = 0, n.tolist(), token.tolist()
-            for i in range(1, len(sizes)):
-                if tokens[i] != tokens[start] or sizes[start] * 100 < PERCENT * sizes[i]:
-                    start = i
-                hub[i] = start
-            pair = np.stack([owner[hub], owner], axis=1)[hub != np.arange(len(hub))]
-            pair = np.unique(np.sort(pair, axis=1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["a", "b"])
+        of, hub, size = None, 0, 0  # a list may go on in the next batch
+        for b in batches:
+            pairs = set()
+            for token, owner, n in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                if token != of or size * 100 < PERCENT * n:
+                    of, hub, size = token, owner, n
+                else:
+                    pairs.add((min(hub, owner), max(hub, owner)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in pairs], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
     return lists.select("token", "class", "n").mapInArrow(run, "a long, b long").distinct()
 
 
 def _arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(class, n, bitmap, items) of the wanted (_pos, class)."""
+    """(class, items): the sorted shingles of the wanted documents (_pos)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in chunks(batches):
             sets = shingle_sets(texts)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([_bitmap(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                names=["class", "n", "bitmap", "items"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_class_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["class", "items"])
 
-    chosen = docs.select("_pos", "_bytes").join(small(wanted.select("_pos"), BROADCAST_IDS), "_pos", "left_semi")
-    return chosen.mapInArrow(run, "class long, n long, bitmap binary, items binary")
+    chosen = docs.select("_pos", "_bytes").join(small(wanted, BROADCAST_IDS), "_pos", "left_semi")
+    return chosen.mapInArrow(run, "class long, items binary")
 
 
-def _links(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link: bound by size and bitmaps, then exactly."""
-    sides = lambda s, *more: arrays.select(F.col("class").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in ("n", *more)])
-    bits = pairs.join(sides("a", "bitmap"), "a").join(sides("b", "bitmap"), "b")
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link: bound by size and bitmaps, then exactly.  Sets
+    are built again for the classes that pass the bound, and for no others."""
+    side = lambda s: classes.select(F.col("class").alias(s), F.col("n").alias(f"n_{s}"), F.col("bitmap").alias(f"bitmap_{s}"))
+    bits = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b")
     bits = bits.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT)
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            t = pa.Table.from_batches([b]).select(["a", "b", "n_a", "n_b", "bitmap_a", "bitmap_b"])
-            if not t.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(t.column(c).to_pylist()), dtype="<u8").reshape(-1, BITMAP_WORDS) for c in ("bitmap_a", "bitmap_b"))
-            na, nb = (t.column(c).to_numpy() for c in ("n_a", "n_b"))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (v[_may_link(x, y, na, nb)] for v in (t.column("a").to_numpy(), t.column("b").to_numpy()))], names=["a", "b"])
-
-    near = bits.mapInArrow(bound, "a long, b long")
-    full = near.join(sides("a", "items"), "a").join(sides("b", "items"), "b").select("a", "b", "items_a", "items_b")
+        for t in batches:
+            if t.num_rows:
+                x, y = (np.frombuffer(b"".join(t.column(i).to_pylist()), dtype="<u8").reshape(-1, BITMAP_WORDS) for i in (4, 5))
+                ok = _may_link(x, y, t.column(2).to_numpy(), t.column(3).to_numpy())
+                yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], names=["a", "b"]).filter(pa.array(ok))
+
+    near = cut(bits.mapInArrow(bound, "a long, b long"))
+    ids = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class"))).distinct()
+    wanted = cut(ids.join(classes, "class").select(F.col("first._pos").alias("_pos")))
+    arrays = cut(_arrays(docs, wanted))
+    items = lambda s: arrays.select(F.col("class").alias(s), F.col("items").alias(f"items_{s}"))
+    full = near.join(items("a"), "a").join(items("b"), "b").select("a", "b", "items_a", "items_b")
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -292,20 +290,20 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     buckets = parts_for(size, BUCKET_BYTES // 8)
     lists = cut(prefix_lists(placed, [(r["h"], r["n"]) for r in heavy], buckets))
-    classes = cut(rows.where("class is not null").groupBy("class").agg(F.min(F.struct("_pos", "doc_id")).alias("first")))
-    wanted = lists.select("class").distinct().join(classes, "class").select(F.col("first._pos").alias("_pos"))
-    arrays = cut(_arrays(placed, cut(wanted)))
+    per_class = rows.where("class is not null").groupBy("class")
+    classes = cut(per_class.agg(F.min(F.struct("_pos", "doc_id")).alias("first"), F.any_value("n").alias("n"), F.any_value("bitmap").alias("bitmap")))
 
-    links = cut(_links(_star_pairs(lists), arrays))
+    links = cut(_links(_star_pairs(lists), classes, placed))
     comp = components(links)
     named = lists.join(comp, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-    mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("token")
-    open_ = named.join(mixed, "token").join(arrays.select("class", "bitmap"), "class")
-    more = cut(_links(_across(open_, buckets), arrays))
+    # A list of two has been compared whole; longer ones only class by smallest class.
+    mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+    open_ = named.join(mixed.where("lo <> hi and m > 2").select("token"), "token").join(classes.select("class", "bitmap"), "class")
+    more = cut(_links(_across(open_, buckets), classes, placed))
     if more.limit(1).count():
         comp = components(links.unionByName(more))
 
-    comp = classes.join(comp, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
+    comp = classes.select("class", "first").join(comp, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
     least = comp.groupBy("comp").agg(F.min("first").alias("least"))
     named = cut(comp.join(least, "comp").select(F.col("class").alias("_class"), "least"))
     out = rows.join(named, F.col("class") == F.col("_class"), "left")
