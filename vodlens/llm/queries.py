@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mixing, packing, pii, quality, substring, suffix, toxicity
+from . import jaccard, licences, mixing, neighbours, packing, pii, quality, substring, suffix, toxicity
 from .common import cut, read_table, tokenizer_path
 
 
@@ -28,6 +28,17 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.without_repeats(read_table(spark, sf_dir, "documents"))
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = licences.document_paths(read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text"))
+    found = licences.licences(files, licences.short(F.col("text")))
+    ids = files.select("doc_id", "path").withColumnRenamed("path", "_path")
+    return ids.join(found, F.col("_path") == F.col("path")).drop("_path")
+
+
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("byte_bpe_50k.tiktoken"))
 

@@ -12,6 +12,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": q.op1_toxicity,
     "op2_quality_rules": q.op2_quality_rules,
     "op3_suffix_dedup": q.op3_suffix_dedup,
+    "op4_licences": q.op4_licences,
+    "op5_neighbours": q.op5_neighbours,
     "op6_packing": q.op6_packing,
     "op7_jaccard": q.op7_jaccard,
     "op8_mixing": q.op8_mixing,
