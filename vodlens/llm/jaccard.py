@@ -36,7 +36,7 @@ from .segments import chunks, mix, pack_arrays, unpack_arrays, with_position
 from .substring import _words, sliding, word_hashes
 
 SHINGLE, PERCENT = 5, 80
-BITMAP_WORDS = 16  # 1,024 bits
+LEAST_BITS = 256
 HEAVY_IN_CHUNK, HEAVY_TOTAL, HEAVY_KEPT = 4, 64, 50_000
 BUCKET_BYTES = 64 << 20
 BROADCAST_IDS = 1_000_000
@@ -66,11 +66,22 @@ def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
 
 
 def _bitmap(s: np.ndarray) -> bytes:
-    bits = np.zeros(BITMAP_WORDS * 64, dtype=bool)
-    bits[mix(s + np.uint64(7)) % np.uint64(BITMAP_WORDS * 64)] = True
+    """Hashed bits of a set: two to four a shingle, a power of two of them, so
+    that sets of one size band have one width and others fold to the smaller."""
+    width = max(LEAST_BITS, 1 << (2 * len(s) - 1).bit_length())
+    bits = np.zeros(width, dtype=bool)
+    bits[mix(s + np.uint64(7)) & np.uint64(width - 1)] = True
     return np.packbits(bits).tobytes()
 
 
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Rows of 64-bit words folded to ``width`` words."""
+    while bits.shape[-1] > width:
+        half = bits.shape[-1] // 2
+        bits = bits[..., :half] | bits[..., half:]
+    return bits
+
+
 def _class_of(s: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -203,10 +214,12 @@ def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
 
     def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batches:
-            if t.num_rows:
-                x, y = (np.frombuffer(b"".join(t.column(i).to_pylist()), dtype="<u8").reshape(-1, BITMAP_WORDS) for i in (4, 5))
-                ok = _may_link(x, y, t.column(2).to_numpy(), t.column(3).to_numpy())
-                yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], names=["a", "b"]).filter(pa.array(ok))
+            ok = []
+            for na, nb, x, y in zip(*(t.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
+                width = min(len(x), len(y)) // 8
+                x, y = (_folded(np.frombuffer(v, dtype="<u8"), width) for v in (x, y))
+                ok.append(bool(_may_link(x, y, na, nb)))
+            yield pa.RecordBatch.from_arrays([t.column(0), t.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     near = cut(bits.mapInArrow(bound, "a long, b long"))
     ids = near.select(F.col("a").alias("class")).unionByName(near.select(F.col("b").alias("class"))).distinct()
@@ -240,23 +253,30 @@ def _across(rows: DataFrame, parts: int) -> DataFrame:
 
     def run(key, table):
         comp, n, cls, token = (table.column(c).to_numpy() for c in ("comp", "n", "class", "token"))
-        bits = np.frombuffer(b"".join(table.column("bitmap").to_pylist()), dtype="<u8").reshape(-1, BITMAP_WORDS)
+        raw = table.column("bitmap").to_pylist()
         order = np.lexsort((cls, n, token))
-        comp, n, cls, token, bits = comp[order], n[order], cls[order], token[order], bits[order]
+        comp, n, cls, token, raw = comp[order], n[order], cls[order], token[order], [raw[i] for i in order]
+        wide = np.array([len(x) // 8 for x in raw], dtype=np.int64)
+        # Blocks: of one list and one width, at most TILE sets.
+        edge = np.append(True, (token[1:] != token[:-1]) | (wide[1:] != wide[:-1]))
+        run_at = np.flatnonzero(edge)
+        inside = np.arange(len(edge)) - np.repeat(run_at, np.diff(np.append(run_at, len(edge))))
+        lo = np.flatnonzero(edge | (inside % TILE == 0))
+        hi = np.append(lo[1:], len(token))
+        bits = [np.frombuffer(b"".join(raw[x:y]), dtype="<u8").reshape(y - x, -1) for x, y in zip(lo, hi, strict=True)]
         found = []
-        cuts = np.flatnonzero(np.append(True, token[1:] != token[:-1]))
-        for lo, hi in zip(cuts, np.append(cuts[1:], len(token)), strict=True):
-            for i in range(lo, hi, TILE):
-                i2 = min(i + TILE, hi)
-                for j in range(i, hi, TILE):
-                    j2 = min(j + TILE, hi)
-                    if n[i2 - 1] * 100 < PERCENT * n[j]:
-                        break  # all further sets are too large for this block
-                    apart = comp[i:i2, None] != comp[None, j:j2]
-                    p, q = np.nonzero(np.triu(apart, 1) if i == j else apart)
-                    p, q = p + i, q + j
-                    ok = _may_link(bits[p], bits[q], n[p], n[q])
-                    found.append(np.sort(np.stack([cls[p[ok]], cls[q[ok]]], axis=1), axis=1))
+        for i in range(len(lo)):
+            for j in range(i, len(lo)):
+                if token[lo[j]] != token[lo[i]] or n[hi[i] - 1] * 100 < PERCENT * n[lo[j]]:
+                    break  # another list, or all further sets are too large for this block
+                apart = comp[lo[i]:hi[i], None] != comp[None, lo[j]:hi[j]]
+                p, q = np.nonzero(np.triu(apart, 1) if i == j else apart)
+                if not len(p):
+                    continue
+                width = min(bits[i].shape[1], bits[j].shape[1])
+                a, b = p + lo[i], q + lo[j]
+                ok = np.flatnonzero(_may_link(_folded(bits[i], width)[p], _folded(bits[j], width)[q], n[a], n[b]))
+                found.append(np.sort(np.stack([cls[a[ok]], cls[b[ok]]], axis=1), axis=1))
         pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
         return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
 
