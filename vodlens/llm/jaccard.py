@@ -9,8 +9,8 @@ In a list, sorted by set size, each class is first paired with the smallest one
 of its tile (sizes within 80 %).  Pairs pass a bound from hashed bitmap signatures
 - a bit set on one side only hides at least one shingle that the other lacks - and
 then the exact intersection of sorted arrays.  After components are built from
-these links, the lists that still hold several components compare all pairs of
-different components, tile by tile, with the same bound and exact test.  So pairs
+these links, and from those of neighbours in the lists that still hold several
+components, what is left of such lists compares all pairs of different components, tile by tile, with the same bound and exact test.  So pairs
 inside one component need not be written out, and no link that joins two
 components is lost.
 
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, parts_for, shield, small, text_bytes, unshield
@@ -192,6 +192,23 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
     return lists.select("token", "class", "n").mapInArrow(run, "a long, b long").distinct()
 
 
+def _open(lists: DataFrame, comp: DataFrame) -> DataFrame:
+    """The lists, with components, that still hold several of them.  A list of
+    two has been compared whole."""
+    named = cut(lists.join(comp, "class", "left").withColumn("comp", F.coalesce("comp", "class")))
+    mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+    return named.join(mixed.where("lo <> hi and m > 2").select("token"), "token")
+
+
+def _chain_pairs(rows: DataFrame, order) -> DataFrame:
+    """(a, b): neighbours in a list, in an order common to all lists, that are of
+    different components and similar size."""
+    w = Window.partitionBy("token").orderBy(order)
+    d = rows.withColumns({"b": F.lag("class").over(w), "b_comp": F.lag("comp").over(w), "b_n": F.lag("n").over(w)})
+    d = d.where((F.col("comp") != F.col("b_comp")) & (F.least("n", "b_n") * 100 >= F.greatest("n", "b_n") * PERCENT))
+    return d.select(F.least("class", "b").alias("a"), F.greatest("class", "b").alias("b")).distinct()
+
+
 def _arrays(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(class, items): the sorted shingles of the wanted documents (_pos)."""
 
@@ -315,10 +332,13 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
 
     links = cut(_links(_star_pairs(lists), classes, placed))
     comp = components(links)
-    named = lists.join(comp, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-    # A list of two has been compared whole; longer ones only class by smallest class.
-    mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-    open_ = named.join(mixed.where("lo <> hi and m > 2").select("token"), "token").join(classes.select("class", "bitmap"), "class")
+    for order in ("class", F.xxhash64("class")):  # neighbours in two common orders join most of what is left
+        more = cut(_links(_chain_pairs(_open(lists, comp), order), classes, placed))
+        if not more.limit(1).count():
+            break
+        links = cut(links.unionByName(more))
+        comp = components(links)
+    open_ = _open(lists, comp).join(classes.select("class", "bitmap"), "class")
     more = cut(_links(_across(open_, buckets), classes, placed))
     if more.limit(1).count():
         comp = components(links.unionByName(more))
