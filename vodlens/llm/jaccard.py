@@ -301,18 +301,22 @@ def _across(rows: DataFrame, parts: int) -> DataFrame:
     return dealt.groupBy("part").applyInArrow(run, "a long, b long").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(class, comp): least class reachable, by label passing and pointer jumping."""
+def components(links: DataFrame, steps: int | None = None) -> DataFrame:
+    """(class, comp): least class reachable, by label passing and pointer jumping;
+    after ``steps`` steps, if given: parts of components, never more."""
     both = cut(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     label = cut(both.groupBy(F.col("a").alias("class")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
-    while True:
+    step_no = 0
+    while step_no != steps:
+        step_no += 1
         seen = both.join(label.withColumnRenamed("class", "a"), "a").groupBy(F.col("b").alias("class")).agg(F.min("comp").alias("near"))
         step = label.join(seen, "class").select("class", "comp", F.least("comp", "near").alias("new"))
         jump = label.select(F.col("class").alias("new"), F.col("comp").alias("far"))
         step = cut(step.join(jump, "new", "left").select("class", "comp", F.least("new", F.coalesce("far", "new")).alias("new")))
         label = step.select("class", F.col("new").alias("comp"))
-        if not step.where("comp <> new").limit(1).count():
-            return label
+        if steps is None and not step.where("comp <> new").limit(1).count():
+            break
+    return label
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -330,18 +334,12 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     per_class = rows.where("class is not null").groupBy("class")
     classes = cut(per_class.agg(F.min(F.struct("_pos", "doc_id")).alias("first"), F.any_value("n").alias("n"), F.any_value("bitmap").alias("bitmap")))
 
+    # Until the end, parts of components will do: pairs of different parts are compared.
     links = cut(_links(_star_pairs(lists), classes, placed))
-    comp = components(links)
-    for order in ("class", F.xxhash64("class")):  # neighbours in two common orders join most of what is left
-        more = cut(_links(_chain_pairs(_open(lists, comp), order), classes, placed))
-        if not more.limit(1).count():
-            break
-        links = cut(links.unionByName(more))
-        comp = components(links)
-    open_ = _open(lists, comp).join(classes.select("class", "bitmap"), "class")
-    more = cut(_links(_across(open_, buckets), classes, placed))
-    if more.limit(1).count():
-        comp = components(links.unionByName(more))
+    chain = cut(_links(_chain_pairs(_open(lists, components(links, 1)), F.xxhash64("class")), classes, placed))
+    links = cut(links.unionByName(chain))
+    open_ = _open(lists, components(links, 2)).join(classes.select("class", "bitmap"), "class")
+    comp = components(links.unionByName(_links(_across(open_, buckets), classes, placed)))
 
     comp = classes.select("class", "first").join(comp, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
     least = comp.groupBy("comp").agg(F.min("first").alias("least"))
