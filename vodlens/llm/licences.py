@@ -31,7 +31,7 @@ TEMPLATES = {
     "CC0-1.0": "Released to the public domain under CC0 1.0 Universal.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
     "LGPL-3.0": "This library is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Permission is hereby granted, free of charge, under the MIT License.",
+    "MIT": "Released under the MIT License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "Proprietary": "Copyright. All rights reserved.",
 }

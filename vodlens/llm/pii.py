@@ -77,15 +77,17 @@ def _matches(text: Column, kind: str) -> Column:
     and the matches themselves, lengths summed along."""
     span = "struct<s:int,e:int,t:string,before:string>"
     pieces, hits = F.split(text, PATTERNS[kind], -1), F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
+    # Runs of few digits are no cards; leaving them out keeps the arrays short.
+    kept = lambda h, old, new: F.when(F.length(_digits(h)) >= 7, new).otherwise(old) if kind == "card" else new
     found = F.aggregate(
         F.zip_with(F.slice(pieces, F.lit(1), F.size(hits)), hits, lambda p, h: F.struct(p.alias("p"), h.alias("h"))),
         F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("out")),
         lambda a, x: F.struct(
             (a["at"] + F.length(x["p"]) + F.length(x["h"])).alias("at"),
-            F.array_append(a["out"], F.struct(
+            kept(x["h"], a["out"], F.array_append(a["out"], F.struct(
                 (a["at"] + F.length(x["p"])).alias("s"), (a["at"] + F.length(x["p"]) + F.length(x["h"])).alias("e"),
                 x["h"].alias("t"), F.right(x["p"], F.lit(CONTEXT)).alias("before"),
-            )).alias("out"),
+            ))).alias("out"),
         ),
         lambda a: a["out"],
     )
@@ -123,12 +125,10 @@ def _described(kind: str, m: Column) -> Column:
 
 
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` plus ``_p_c``: the array of all proposed spans.  Runs of two digits
-    are not worth a feature row: card-like runs under 7 digits are left out."""
+    """``docs`` plus ``_p_c``: the array of all proposed spans."""
     x = F.coalesce(F.col(text), F.lit(""))
     found = docs.withColumns({f"_p_{k}": _matches(x, k) for k in PATTERNS})
-    worth = lambda k: F.filter(f"_p_{k}", lambda m: F.length(_digits(m["t"])) >= 7) if k == "card" else F.col(f"_p_{k}")
-    parts = [F.transform(worth(k), (lambda k: lambda m: _described(k, m))(k)) for k in PATTERNS]
+    parts = [F.transform(f"_p_{k}", (lambda k: lambda m: _described(k, m))(k)) for k in PATTERNS]
     return found.withColumn("_p_c", F.concat(*parts)).drop(*[f"_p_{k}" for k in PATTERNS])
 
 
