@@ -76,7 +76,7 @@ def write_raw(df: DataFrame, path: str, fmt: str = "json") -> None:
     # REBALANCE clusters rows by day (few files per day) while AQE splits a
     # skewed day over several tasks instead of one.
     out = df.withColumn(PARTITION, day).hint("rebalance", PARTITION)
-    w = out.write.mode("overwrite").partitionBy(PARTITION)
+    w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PARTITION)
     if fmt == "json":
         w = w.option("timestampFormat", TS_FORMAT)
     w.format(fmt).save(path)

@@ -24,7 +24,7 @@ DATA_COLUMNS = [f for f in VIEWS.fields if f.name not in ("device", "day")]
 def write_views(df: DataFrame, root: str) -> None:
     """Write device=/day= folders; REBALANCE keeps few files per folder and
     lets AQE split a heavy device-day over several tasks."""
-    df.hint("rebalance", "device", "day").write.mode("overwrite").partitionBy("device", "day").orc(root)
+    df.hint("rebalance", "device", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("device", "day").orc(root)
 
 
 def read_views(
