@@ -10,9 +10,11 @@ of its tile (sizes within 80 %).  Pairs pass a bound from hashed bitmap signatur
 - a bit set on one side only hides at least one shingle that the other lacks - and
 then the exact intersection of sorted arrays.  After components are built from
 these links, and from those of neighbours in the lists that still hold several
-components, what is left of such lists compares all pairs of different components, tile by tile, with the same bound and exact test.  So pairs
-inside one component need not be written out, and no link that joins two
-components is lost.
+components, what is left of such lists (one list of each set of members) is compared
+tile by tile with the same bound.  Sets that the bound ties together form a group;
+inside a group all pairs of different components and similar size are compared
+exactly, until they are in one component.  So tiles and groups put out rows, not
+pairs, and no link that joins two components is lost.
 
 Defined results: a text with fewer than five words is one shingle; null, empty
 and blank texts have no shingle and are linked with nothing; repeated rows fall
@@ -41,6 +43,8 @@ HEAVY_IN_CHUNK, HEAVY_TOTAL, HEAVY_KEPT = 4, 64, 50_000
 BUCKET_BYTES = 64 << 20
 BROADCAST_IDS = 1_000_000
 TILE = 256
+HOME_ROWS = 1024
+BLOCK_SHINGLES = 4 << 20
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -193,11 +197,15 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
 
 
 def _open(lists: DataFrame, comp: DataFrame) -> DataFrame:
-    """The lists, with components, that still hold several of them.  A list of
-    two has been compared whole."""
+    """The lists, with components, that still hold several of them: of lists with
+    the same members (two hashes of them) one.  A list of two has been compared
+    whole.  ``home`` is the least class, or the token of a list of many rows."""
     named = cut(lists.join(comp, "class", "left").withColumn("comp", F.coalesce("comp", "class")))
-    mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
-    return named.join(mixed.where("lo <> hi and m > 2").select("token"), "token")
+    members = [F.bit_xor(F.xxhash64("class", F.lit(i))).alias(f"x{i}") for i in (1, 2)]
+    mixed = named.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"), F.min("class").alias("least"), *members)
+    one = mixed.where("lo <> hi and m > 2").groupBy("m", "least", "x1", "x2").agg(F.min("token").alias("token"))
+    home = F.when(F.col("m") > HOME_ROWS, F.col("token")).otherwise(F.col("least")).alias("home")
+    return named.join(one.select("token", home), "token")
 
 
 def _chain_pairs(rows: DataFrame, order) -> DataFrame:
@@ -264,15 +272,29 @@ def _may_link(x: np.ndarray, y: np.ndarray, na: np.ndarray, nb: np.ndarray) -> n
     return 100 * both >= PERCENT * (na + nb - both)
 
 
-def _across(rows: DataFrame, parts: int) -> DataFrame:
-    """(a, b): pairs of classes of one list in different components that size and
-    bitmap allow.  Blocks of a list meet as tiles, each in one vector operation."""
+def _merge(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the groups of a and b (``root``: the least member of each one's group)."""
+    while len(a):
+        x, y = root[a], root[b]
+        apart = x != y
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while len(a) and (root[root] != root).any():
+            root[:] = root[root]
+
+
+def _groups(rows: DataFrame, parts: int) -> DataFrame:
+    """(group, class): classes that size and bitmap tie together, over pairs of one
+    list and different components.  Blocks of a list meet as tiles, each in one
+    vector operation; pairs already in one group are not looked at again."""
 
     def run(key, table):
         comp, n, cls, token = (table.column(c).to_numpy() for c in ("comp", "n", "class", "token"))
         raw = table.column("bitmap").to_pylist()
         order = np.lexsort((cls, n, token))
         comp, n, cls, token, raw = comp[order], n[order], cls[order], token[order], [raw[i] for i in order]
+        name, own = np.unique(cls, return_inverse=True)
+        root = np.arange(len(name))
         wide = np.array([len(x) // 8 for x in raw], dtype=np.int64)
         # Blocks: of one list and one width, at most TILE sets.
         edge = np.append(True, (token[1:] != token[:-1]) | (wide[1:] != wide[:-1]))
@@ -281,24 +303,83 @@ def _across(rows: DataFrame, parts: int) -> DataFrame:
         lo = np.flatnonzero(edge | (inside % TILE == 0))
         hi = np.append(lo[1:], len(token))
         bits = [np.frombuffer(b"".join(raw[x:y]), dtype="<u8").reshape(y - x, -1) for x, y in zip(lo, hi, strict=True)]
-        found = []
         for i in range(len(lo)):
             for j in range(i, len(lo)):
                 if token[lo[j]] != token[lo[i]] or n[hi[i] - 1] * 100 < PERCENT * n[lo[j]]:
                     break  # another list, or all further sets are too large for this block
-                apart = comp[lo[i]:hi[i], None] != comp[None, lo[j]:hi[j]]
+                x, y = slice(lo[i], hi[i]), slice(lo[j], hi[j])
+                apart = (comp[x, None] != comp[None, y]) & (root[own[x]][:, None] != root[own[y]][None, :])
                 p, q = np.nonzero(np.triu(apart, 1) if i == j else apart)
                 if not len(p):
                     continue
                 width = min(bits[i].shape[1], bits[j].shape[1])
                 a, b = p + lo[i], q + lo[j]
-                ok = np.flatnonzero(_may_link(_folded(bits[i], width)[p], _folded(bits[j], width)[q], n[a], n[b]))
-                found.append(np.sort(np.stack([cls[a[ok]], cls[b[ok]]], axis=1), axis=1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pa.array(pairs[:, 0], pa.int64()), "b": pa.array(pairs[:, 1], pa.int64())})
+                ok = _may_link(_folded(bits[i], width)[p], _folded(bits[j], width)[q], n[a], n[b])
+                _merge(root, own[a[ok]], own[b[ok]])
+        tied = np.bincount(root, minlength=len(root))[root] > 1
+        return pa.table({"group": pa.array(name[root[tied]], pa.int64()), "class": pa.array(name[tied], pa.int64())})
+
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("home"), F.lit(parts)))
+    return dealt.groupBy("part").applyInArrow(run, "group long, class long").distinct()
+
+
+def _compared(block: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], one: bool) -> list[tuple[int, int]]:
+    """Links that join components, of sets ordered by size: in one block all pairs,
+    else those of different blocks."""
+    n = np.array([len(s) for s in sets], dtype=np.int64)
+    root = np.unique(comp, return_inverse=True)[1]
+    bits = [np.frombuffer(_bitmap(s), dtype="<u8") for s in sets]
+    wide = np.array([len(b) for b in bits])
+    links = []
+    for width in np.unique(wide):
+        # Sets of one width, then those of the next, folded: no others are of similar size.
+        first, last, stop = np.searchsorted(wide, [width, width + 1, 2 * width + 1])
+        rows = np.stack([_folded(b, width) for b in bits[first:stop]])
+        for p in range(first, last):
+            end = min(stop, np.searchsorted(n, n[p] * 100 // PERCENT, side="right"))
+            q = np.arange(p + 1, end)
+            q = q[(root[q] != root[p]) & (one | (block[q] != block[p]))]
+            if not len(q):
+                continue
+            for i in q[_may_link(rows[p - first], rows[q - first], n[p], n[q])]:
+                if root[i] == root[p]:
+                    continue
+                both = len(np.intersect1d(sets[p], sets[i], assume_unique=True))
+                if 100 * both >= PERCENT * (n[p] + n[i] - both):
+                    links.append((p, i))
+                    root[root == root[i]] = root[p]
+    return links
+
+
+def _group_links(groups: DataFrame, classes: DataFrame, comp: DataFrame, docs: DataFrame) -> DataFrame:
+    """(a, b): links inside the groups, found exactly, as many as join all that
+    links.  A group of many shingles is cut into blocks, and each pair of blocks is
+    compared in its own place, so no task holds a whole group that is large."""
+    known = groups.join(classes.select("class", "n", F.col("first._pos").alias("_pos")), "class").join(comp, "class", "left")
+    before = F.sum("n").over(Window.partitionBy("group").orderBy("n", "class").rowsBetween(Window.unboundedPreceding, -1))
+    block = F.floor(F.coalesce(before, F.lit(0)) / BLOCK_SHINGLES).cast("int")
+    rows = cut(known.select("group", "class", "n", "_pos", F.coalesce("comp", "class").alias("comp"), block.alias("block")))
+    arrays = cut(_arrays(docs, cut(rows.select("_pos").distinct())))
+    ends = rows.groupBy("group").agg(F.max("block").alias("last"))
+    dealt = rows.join(ends, "group").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    dealt = cut(dealt.select("group", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "class", "comp", "block", "n"))
+    parts = parts_for(8 * (dealt.agg(F.sum("n")).first()[0] or 0), BUCKET_BYTES // 4)
+
+    def run(key, table):
+        group, i, j, cls, comp, block, n = (table.column(c).to_numpy() for c in ("group", "i", "j", "class", "comp", "block", "n"))
+        items = table.column("items")
+        order = np.lexsort((cls, n, j, i, group))
+        place = np.stack([group, i, j])[:, order]
+        cuts = np.flatnonzero(np.append(True, (place[:, 1:] != place[:, :-1]).any(axis=0)))
+        found = []
+        for x, y in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
+            at = order[x:y]
+            sets = [np.frombuffer(items[int(k)].as_buffer(), dtype="<u8") for k in at]
+            found += [sorted((cls[at[p]], cls[at[q]])) for p, q in _compared(block[at], comp[at], sets, i[at[0]] == j[at[0]])]
+        return pa.table({c: pa.array([f[k] for f in found], pa.int64()) for k, c in enumerate("ab")})
 
-    dealt = rows.withColumn("part", F.pmod(F.xxhash64("token"), F.lit(parts)))
-    return dealt.groupBy("part").applyInArrow(run, "a long, b long").distinct()
+    full = dealt.join(arrays, "class").withColumn("part", F.pmod(F.xxhash64("group", "i", "j"), F.lit(parts)))
+    return full.groupBy("part").applyInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame, steps: int | None = None) -> DataFrame:
@@ -338,8 +419,9 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     links = cut(_links(_star_pairs(lists), classes, placed))
     chain = cut(_links(_chain_pairs(_open(lists, components(links, 1)), F.xxhash64("class")), classes, placed))
     links = cut(links.unionByName(chain))
-    open_ = _open(lists, components(links, 2)).join(classes.select("class", "bitmap"), "class")
-    comp = components(links.unionByName(_links(_across(open_, buckets), classes, placed)))
+    parts = components(links, 2)
+    groups = cut(_groups(_open(lists, parts).join(classes.select("class", "bitmap"), "class"), buckets))
+    comp = components(links.unionByName(_group_links(groups, classes, parts, placed)))
 
     comp = classes.select("class", "first").join(comp, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
     least = comp.groupBy("comp").agg(F.min("first").alias("least"))
