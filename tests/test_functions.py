@@ -141,7 +141,7 @@ def test_formatting(spark):
     assert [tuple(r) for r in got] == [
         ("1.234K", "0.001234M", "2022-12-01-Thu", "07"),
         ("0.0K", "0.0M", "2022-12-04-Sun", "13"),
-        ("0.005K", "5.0E-6M", "2022-12-05-Mon", "00"),
+        ("0.005K", "0.000005M", "2022-12-05-Mon", "00"),
     ]
 
 

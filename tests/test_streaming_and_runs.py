@@ -1,5 +1,6 @@
 """Streaming ingest (availableNow over landed files) and the report runner."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from vodlens.operators.clean import clean_kafka
@@ -101,4 +102,76 @@ def test_cli_end_to_end(spark, tmp_dir):
           "--menus", f"{tmp_dir}/menus", "--out", f"{tmp_dir}/out"])
     got = spark.read.parquet(f"{tmp_dir}/out/vod_by_folder")
     assert sorted(r[0].isoformat() for r in got.select("Date").distinct().collect()) == ["2024-01-02", "2024-01-03"]
+    assert sorted(r[0].isoformat() for r in got.select("dt").distinct().collect()) == ["2024-01-02", "2024-01-03"]
     assert spark.read.parquet(f"{tmp_dir}/out/topic_lane_rows").count() > 0
+
+
+def _dumps(spark, days):
+    """Clean logs by dump day; the last dump also holds the first day's late records."""
+    logs = Inputs(spark, SF).logs.withColumn("d", F.col("Date").cast("string"))
+    late = (F.col("d") == days[0]) & (F.pmod(F.xxhash64("Session"), F.lit(7)) == 0)
+    dump = F.when(late, F.lit(days[-1])).otherwise(F.col("d"))
+    logs = logs.withColumn("dump", dump)
+    return {d: logs.where(F.col("dump") == d).drop("d", "dump") for d in days}
+
+
+def test_nights_late_records_and_repeats_lose_nothing(spark, tmp_dir):
+    from vodlens.operators.topic_lane import topic_lane_rows
+    from vodlens.plans.daily import run_days
+
+    i, days, out = Inputs(spark, SF), ["2024-01-03", "2024-01-04"], f"{tmp_dir}/out"
+    dims, dumps = Dims(cus=i.cus, listfolder=i.listfolder, fol=i.fol), _dumps(spark, days)
+    for night in (days[0], days[1], days[1]):  # the second night is repeated
+        run_days({night: dumps[night]}, dims, [5, 16], out)
+    rows = spark.read.parquet(f"{out}/topic_lane_rows")
+    want = {d: topic_lane_rows(dumps[d]).count() for d in days}
+    assert all(want.values())
+    assert {r["dt"].isoformat(): r["count"] for r in rows.groupBy("dt").count().collect()} == want
+    by = spark.read.parquet(f"{out}/customers_by_location")
+    dates = {(r["dt"].isoformat(), r["Date"].isoformat()) for r in by.select("dt", "Date").distinct().collect()}
+    assert dates == {(days[0], days[0]), (days[1], days[0]), (days[1], days[1])}
+
+
+def test_gaps_are_errors_that_name_the_days(spark, tmp_dir):
+    from vodlens.plans.daily import run_days
+
+    i, days = Inputs(spark, SF), ["2024-01-03", "2024-01-04"]
+    cus = i.cus.withColumn("SnapshotDate", F.lit("2024-01-03").cast("date"))
+    with pytest.raises(ValueError, match="2024-01-04"):
+        run_days(_dumps(spark, days), Dims(cus, i.listfolder, i.fol), [5], f"{tmp_dir}/out")
+    raw = fixtures.raw_kafka_logs(spark, SF).where("to_date(received_at) = '2024-01-03'")
+    log_src.write_raw(raw, f"{tmp_dir}/kafka")
+    with pytest.raises(FileNotFoundError, match="2024-01-04"):
+        log_src.read_logs(spark, f"{tmp_dir}/kafka", None, days, "k")
+    with pytest.raises(ValueError, match="files"):
+        log_src.read_logs(spark, None, None, days, "f")
+
+
+def test_one_failing_job_does_not_stop_the_others(spark, monkeypatch):
+    i, seen = Inputs(spark, SF), []
+
+    def broken(logs, dims):
+        raise RuntimeError("broken")
+
+    monkeypatch.setitem(JOBS, 2, broken)
+    with pytest.raises(ExceptionGroup):
+        run_reports(i.logs, Dims(i.cus, i.listfolder, i.fol), [2, 5], lambda name, df: seen.append(name))
+    assert seen == ["customers_by_location"]
+    assert run_reports(i.logs, Dims(i.cus, i.listfolder, i.fol), [], how="none") == {}
+
+
+def test_ingest_restart_without_a_checkpoint_argument(spark, tmp_dir):
+    raw = fixtures.raw_kafka_logs(spark, SF)
+    land, out = f"{tmp_dir}/land", f"{tmp_dir}/clean"
+    for name, part in (("a", "< '2024-01-15'"), ("b", ">= '2024-01-15'")):
+        log_src.write_raw(raw.where(f"to_date(received_at) {part}"), f"{land}/{name}")
+        start_ingest(file_log_stream(spark, land), out).awaitTermination(120)
+    assert spark.read.parquet(out).count() == clean_kafka(raw).count()
+
+
+def test_every_timestamp_form_is_read(spark, tmp_dir):
+    forms = ["2024-01-01T10:00:00.123456+07:00", "2024-01-01T10:00:01Z", "2024-01-01T10:00:02+00:00",
+             "2024-01-01 10:00:03", "2024-01-01T10:00:04.5"]
+    spark.createDataFrame([(f'{{"received_at": "{f}", "fields": {{}}}}',) for f in forms], "value string").write.text(f"{tmp_dir}/raw")
+    got = log_src.read_raw(spark, f"{tmp_dir}/raw")
+    assert got.where("received_at is not null").count() == len(forms)

@@ -19,6 +19,8 @@ def hour_label(h: ColumnOrName) -> Column:
 
 
 def fmt_unit(x: ColumnOrName, unit: str = "K") -> Column:
-    """Count → ``'<x/1000>K'``; any other unit divides by one million (FN10)."""
-    div = 1000.0 if unit == "K" else 1000000.0
-    return F.concat((_c(x) / F.lit(div)).cast("string"), F.lit(unit))
+    """Count → ``'<x/1000>K'``; any other unit divides by one million (FN10).  Plain
+    decimals, at least one and no needless zeros: never an exponent."""
+    exact = _c(x).cast("decimal(29,0)") / F.lit(1000 if unit == "K" else 1000000).cast("decimal(7,0)")
+    digits = F.regexp_replace(exact.cast("decimal(38,6)").cast("string"), r"(\.\d+?)0+$", "$1")
+    return F.concat(digits, F.lit(unit))

@@ -38,13 +38,6 @@ def max_broadcast_rows(df: DataFrame) -> int:
     return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
 
 
-# Decisions already taken in this process, keyed by (session, canonical plan
-# hash, bound): every report of a run joins the same dimensions, so each is
-# counted once.  A stale entry could only change the join strategy, never the
-# result.
-_DECISIONS: dict[tuple[int, int, int, int], bool] = {}
-
-
 def max_broadcast_bytes(df: DataFrame) -> int:
     v = df.sparkSession.conf.get(CONF_BYTES, None)
     return int(v) if v else DEFAULT_MAX_BROADCAST_BYTES
@@ -62,12 +55,8 @@ def measure(dim: DataFrame) -> tuple[int, int]:
 
 def fits_broadcast(dim: DataFrame, max_rows: int | None = None) -> bool:
     bound = max_rows if max_rows is not None else max_broadcast_rows(dim)
-    byte_bound = max_broadcast_bytes(dim)
-    memo = (id(dim.sparkSession), dim.semanticHash(), bound, byte_bound)
-    if memo not in _DECISIONS:
-        rows, size = measure(dim)
-        _DECISIONS[memo] = rows <= bound and size <= byte_bound
-    return _DECISIONS[memo]
+    rows, size = measure(dim)  # at every join: a table may have grown since the last
+    return rows <= bound and size <= max_broadcast_bytes(dim)
 
 
 def sized_broadcast(dim: DataFrame, max_rows: int | None = None) -> DataFrame:

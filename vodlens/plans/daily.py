@@ -1,11 +1,13 @@
 """Nightly report runs (RUN1) and date-range backfills (RUN2).
 
 ``run_reports`` takes clean logs and the dimensions, runs the chosen reports
-and hands each result to a sink.  The clean logs are persisted once (they feed
+and hands each result to a sink; a failing report does not stop the others, and
+all errors are raised at the end.  The clean logs are persisted once (they feed
 every report); a lost executor only recomputes its own blocks from the source
-files.  A backfill reads the whole range in one scan: every report already
-groups by ``Date``, and a dated customer snapshot is joined on
-(customer, Date), so no per-day loop or sleep is needed.
+files.  A backfill runs dump day by dump day (``run_days``): every report is
+written under the dump day ``dt`` whose logs it read, with the customer snapshot of
+that day.  A late record keeps its own ``Date`` inside a later ``dt``, so it adds to
+the earlier day and erases nothing, and a repeated day replaces itself only.
 
 Command line (same argument shape as the original batch)::
 
@@ -22,9 +24,11 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import customer, folder, menu, movie, pageview, recsys, submenu, topic_lane
+from ..operators.joins import SNAPSHOT_COL
 
 
 @dataclass
@@ -114,19 +118,68 @@ def run_reports(
     written before persisted logs are released."""
     base = materialize(logs, how)
     out: dict[str, DataFrame] = {}
+    errors: list[Exception] = []
     try:
-        for n in jobs or sorted(JOBS):
-            out.update(JOBS[n](base, dims))
-        if sink is not None:
-            for name, df in out.items():
-                sink(name, df)
+        for n in sorted(JOBS) if jobs is None else jobs:
+            try:
+                made = JOBS[n](base, dims)
+                if sink is not None:
+                    for name, df in made.items():
+                        sink(name, df)
+                out.update(made)
+            except Exception as e:  # the night goes on with the other jobs
+                e.add_note(f"job {n}")
+                errors.append(e)
     finally:
         if sink is not None and how == "persist":
             base.unpersist()
+    if errors:
+        raise ExceptionGroup(f"{len(errors)} jobs failed", errors)
     return out
 
 
+def snapshots_of(cus: DataFrame, days: list[str]) -> dict[str, DataFrame]:
+    """The customer table of each day: the day's snapshot where the table holds one
+    per day (days without one raise an error that names them), else all of it."""
+    if SNAPSHOT_COL not in cus.columns:
+        return {d: cus for d in days}
+    day = F.col(SNAPSHOT_COL).cast("date")
+    held = cus.where(day.isin(*map(dt.date.fromisoformat, days))).select(day.alias("d")).distinct()
+    missing = sorted(set(days) - {r["d"].isoformat() for r in held.collect()})
+    if missing:
+        raise ValueError(f"no customer snapshot for {missing}")
+    return {d: cus.where(day == F.lit(dt.date.fromisoformat(d))).drop(SNAPSHOT_COL) for d in days}
+
+
+def run_days(
+    logs_by_day: dict[str, DataFrame],
+    dims: Dims,
+    jobs: list[int] | None,
+    out: str,
+    how: str = "persist",
+) -> None:
+    """Run the jobs over the logs of each dump day and write every report as Parquet
+    under ``out/<report>/dt=<day>``; other days' results are not touched."""
+    from ..sinks.files import write_table
+
+    cus = snapshots_of(dims.cus, list(logs_by_day))
+    errors: list[Exception] = []
+    for day, logs in logs_by_day.items():
+        def sink(name: str, df: DataFrame, day: str = day) -> None:
+            write_table(df, f"{out}/{name}/dt={day}")
+
+        try:
+            run_reports(logs, Dims(cus[day], dims.listfolder, dims.fol), jobs, sink, how)
+        except ExceptionGroup as e:
+            e.add_note(f"dump day {day}")
+            errors.append(e)
+    if errors:
+        raise ExceptionGroup(f"{len(errors)} of {len(logs_by_day)} days had failing jobs", errors)
+
+
 def date_range(start: str, end: str | None) -> list[str]:
+    if start == "now":
+        start = dt.date.today().isoformat()
     a = dt.date.fromisoformat(start)
     b = dt.date.fromisoformat(end) if end else a
     return [(a + dt.timedelta(days=i)).isoformat() for i in range((b - a).days + 1)]
@@ -134,7 +187,6 @@ def date_range(start: str, end: str | None) -> list[str]:
 
 def main(argv: list[str] | None = None) -> None:
     from ..session import get_spark
-    from ..sinks.files import write_table
     from ..sources import dims as dim_src
     from ..sources.logs import read_logs
 
@@ -144,6 +196,8 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("end", nargs="?", default=None)
     p.add_argument("--kafka")
     p.add_argument("--archive")
+    p.add_argument("--files", nargs="+", help="Kafka-dump files of source f")
+    p.add_argument("--fmt", default="json", help="format of the landed logs: json, parquet or orc")
     p.add_argument("--customers", required=True, help="Parquet with ID, Area, UType[, SnapshotDate]")
     p.add_argument("--listfolder", required=True, help="Parquet with MovieID, Folder")
     p.add_argument("--menus", required=True, help="Parquet with MenuID, FolderID")
@@ -154,18 +208,20 @@ def main(argv: list[str] | None = None) -> None:
     spark = get_spark()
     source, jobs = parse_jobs(a.jobs)
     days = date_range(a.start, a.end)
-    logs = read_logs(spark, a.kafka, a.archive, days, source)
+    if source == "f":
+        if len(days) > 1:
+            raise ValueError("given files are one dump: give one day")
+        logs = {days[0]: read_logs(spark, None, None, source=source, files=a.files, fmt=a.fmt)}
+    else:
+        read_logs(spark, a.kafka, a.archive, days, source, fmt=a.fmt)  # names every missing day before any is run
+        logs = {d: read_logs(spark, a.kafka, a.archive, [d], source, fmt=a.fmt) for d in days}
     dims = Dims(
         cus=spark.read.parquet(a.customers),
         listfolder=spark.read.parquet(a.listfolder),
         fol=dim_src.menu_folders(spark.read.parquet(a.menus)),
     )
 
-    def sink(name: str, df: DataFrame) -> None:
-        by_day = ["Date"] if dict(df.dtypes).get("Date") == "date" else None
-        write_table(df, f"{a.out}/{name}", by_day)
-
-    run_reports(logs, dims, jobs, sink, a.materialize)
+    run_days(logs, dims, jobs, a.out, a.materialize)
 
 
 if __name__ == "__main__":

@@ -19,7 +19,9 @@ from ..operators.clean import clean_archive, clean_kafka
 from ..schema import RAW_ARCHIVE, RAW_KAFKA
 from .listing import partition_values
 
-# Microsecond event times survive a JSON round trip with this format.
+# Microsecond event times survive a JSON round trip with this format.  It is for
+# writing only: readers set none, so any ISO form (``Z``, offset or no zone, with
+# or without a fraction) is read; a time without zone is in the session's zone.
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 PARTITION = "dt"
 
@@ -42,7 +44,7 @@ def read_raw(
         schema = T.StructType(schema.fields + [T.StructField(PARTITION, T.StringType())])
     r = spark.read.format(fmt).schema(schema)
     if fmt == "json":
-        r = r.option("timestampFormat", TS_FORMAT).option("mode", "PERMISSIVE")
+        r = r.option("mode", "PERMISSIVE")
     ds = _dates(dates)
     if ds is not None and _partitioned(path):
         # Hand the reader only the requested day folders: a root path would
@@ -98,12 +100,15 @@ def read_logs(
     choice is made per day, as the original did day by day: each day comes
     from the preferred source if its day folder exists there, else from the
     other; the days of each source are read in one scan and the two cleaned
-    parts are unioned.  Without ``dates`` a source whose path does not exist
+    parts are unioned; days that neither source has raise an error that names them.
+    Without ``dates`` a source whose path does not exist
     raises at analysis time and the other one is tried.
     """
     src = (source or "k").lower()
     if src == "f":
-        return clean_kafka(read_raw(spark, files or [], "kafka", fmt))
+        if not files:
+            raise ValueError("source 'f' needs a list of files")
+        return clean_kafka(read_raw(spark, files, "kafka", fmt))
     if src not in ("k", "h"):
         raise ValueError(f"unknown log source {source!r}; use 'k', 'h' or 'f'")
     kafka = lambda ds=dates: clean_kafka(read_raw(spark, kafka_path, "kafka", fmt, ds))
@@ -120,8 +125,8 @@ def read_logs(
             if here:
                 parts.append(read(here))
                 todo = [d for d in todo if d not in here]
-        if not parts:
-            raise FileNotFoundError(f"no log folder for {ds} under {kafka_path} or {archive_path}")
+        if todo:
+            raise FileNotFoundError(f"no log folder for {todo} under {kafka_path} or {archive_path}")
         out = parts[0]
         for p in parts[1:]:
             out = out.unionByName(p)

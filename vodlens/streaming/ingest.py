@@ -17,8 +17,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import clean_archive, clean_kafka
 from ..schema import RAW_ARCHIVE, RAW_KAFKA
-from ..session import scratch_path
-from ..sources.logs import TS_FORMAT
 
 
 def file_log_stream(
@@ -31,8 +29,6 @@ def file_log_stream(
     """Streaming clean logs from files landing under ``path`` (any depth)."""
     schema = RAW_KAFKA if kind == "kafka" else RAW_ARCHIVE
     r = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", "true")
-    if fmt == "json":
-        r = r.option("timestampFormat", TS_FORMAT)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.load(path)
@@ -55,7 +51,7 @@ def clean_kafka_values(records: DataFrame) -> DataFrame:
     """Kafka ``value`` bytes (JSON records) → clean logs; the same expressions
     run on a stream or on a batch of landed values."""
     raw = records.select(
-        F.from_json(F.col("value").cast("string"), RAW_KAFKA, {"timestampFormat": TS_FORMAT}).alias("r")
+        F.from_json(F.col("value").cast("string"), RAW_KAFKA).alias("r")
     ).select("r.*")
     return clean_kafka(raw)
 
@@ -70,9 +66,10 @@ def start_ingest(
     """Append clean logs to ``out_path`` partitioned by ``Date``.
 
     ``available_now`` processes everything that has landed and stops (a
-    catch-up run); otherwise the query keeps running on ``processing_time``.
+    catch-up run); otherwise the query keeps running on ``processing_time``.  The
+    checkpoint defaults to a folder beside the output, the same at every start.
     """
-    ckpt = checkpoint or scratch_path(logs.sparkSession, "ingest-ckpt")
+    ckpt = checkpoint or f"{out_path.rstrip('/')}_ingest_checkpoint"
     w = (
         logs.writeStream.format("parquet")
         .option("path", out_path)
