@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vodlens.llm import jaccard, licences, mixing, neighbours, packing, pii, quality, substring, suffix, toxicity
+from vodlens.llm import jaccard, licences, mixing, neighbours, packing, pii, quality, segments, substring, suffix, toxicity
 from vodlens.llm import queries as Q
 from vodlens.llm.common import read_table, tokenizer_path
 
@@ -58,6 +58,32 @@ def test_suffix_dedup_equals_brute_force(spark, docs):
             len(w), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest())
 
 
+@pytest.mark.parametrize("k, window", [(16, 100), (4, 20)])
+def test_minimisers_beyond_2_to_24_places(k, window):
+    rng = np.random.default_rng(3)
+    h = rng.integers(0, 1 << 62, size=(1 << 24) + 5_000).astype(np.uint64)
+    h[-3_000:] = h[1_000:4_000]
+    for at in (1 << 24) - 1_500, (1 << 24) - 60:  # copies around the place where a key is full
+        h[at:at + 700] = h[2_000:2_700]
+    s, e, a = segments.super_windows(h, np.full(len(h), len(h) + k - 1), k, window)
+    assert (a >= s).all() and (a <= e + window - k).all() and (a - e >= 0).all()
+    assert s[0] == 0 and (s[1:] == e[:-1] + 1).all() and e[-1] == len(h) + k - 1 - window  # each window once
+    anchor = np.repeat(a, e - s + 1) - np.arange(e[-1] + 1)
+    n = 700 + k - window - k + 1
+    for at in (1 << 24) - 1_500, (1 << 24) - 60, len(h) - 2_000:
+        assert (anchor[at:at + n] == anchor[2_000:2_000 + n]).all()
+
+
+def test_suffix_dedup_of_a_text_over_16_mib(spark):
+    rng = np.random.default_rng(4)
+    text = bytes(rng.integers(97, 123, size=(1 << 24) + 4_000).astype(np.uint8))
+    text = text[:-3_000] + text[500:2_500] + text[-1_000:]
+    d = spark.createDataFrame([(1, text.decode()), (2, text[-800:-500].decode())], "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.without_repeats(d).collect()}
+    kept = text[:-3_000] + text[-1_000:]
+    assert got == {1: (2_000, 1, hashlib.sha256(kept).hexdigest()), 2: (300, 1, hashlib.sha256(b"").hexdigest())}
+
+
 def test_substring_dedup_equals_brute_force(spark, docs):
     want = _windows_removed(docs, 20, lambda t: t.encode().split())
     for r in Q.op9_substring(spark, SF).collect():

@@ -16,6 +16,7 @@ from .common import cut
 
 CHUNK_BYTES = 2 << 20  # text handled at once inside a task
 POS_BITS = np.uint64(24)
+BLOCK_PLACES = 1 << int(POS_BITS)  # places that one key can number
 
 
 def with_position(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -53,27 +54,37 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list
         yield np.array(pos, dtype=np.int64), texts
 
 
-def super_windows(h: np.ndarray, doc_end: np.ndarray, k: int, window: int):
-    """Groups the windows of ``window`` tokens by their minimiser.
-
-    ``h``: hash of the k tokens from each place on; ``doc_end``: end of the
-    document that the place is in.  A window's minimiser is the least hash in it,
-    the leftmost of equal ones, so it depends on nothing but the window.  Returns
-    (first window, last window, minimiser place) of each group of neighbours."""
-    n = len(h)
-    at = np.arange(n, dtype=np.uint64)
+def _least(h: np.ndarray, w: int) -> np.ndarray:
+    """Place of the least of the ``w`` hashes from each place on, the leftmost of
+    equal ones; at most ``BLOCK_PLACES`` hashes, whose places fit beside them."""
     low = (np.uint64(1) << POS_BITS) - np.uint64(1)
-    key = (mix(h) & ~low) | at
-    w, span, least = window - k + 1, 1, key
+    key = (h & ~low) | np.arange(len(h), dtype=np.uint64)
+    span, least = 1, key
     while span * 2 <= w:
         least = np.minimum(least[:-span], least[span:])
         span *= 2
     if w > span:
         least = np.minimum(least[:len(least) - (w - span)], least[w - span:])
-    starts = np.flatnonzero(np.arange(len(least)) + window <= doc_end[:len(least)])
+    return (least & low).astype(np.int64)
+
+
+def super_windows(h: np.ndarray, doc_end: np.ndarray, k: int, window: int):
+    """Groups the windows of ``window`` tokens by their minimiser.
+
+    ``h``: hash of the k tokens from each place on; ``doc_end``: end of the
+    document that the place is in.  A window's minimiser is the least hash in it,
+    the leftmost of equal ones, so it depends on nothing but the window, in texts of
+    any length.  Returns (first window, last window, minimiser place) of each group
+    of neighbours."""
+    w = window - k + 1
+    parts = []
+    for lo in range(0, max(len(h) - w + 1, 0), BLOCK_PLACES - w + 1):  # blocks share w - 1 places: each window is whole in one
+        least = _least(mix(h[lo:lo + BLOCK_PLACES]), w)
+        at = np.flatnonzero(np.arange(lo, lo + len(least)) + window <= doc_end[lo:lo + len(least)])
+        parts.append((at + lo, least[at] + lo))
+    starts, anchor = (np.concatenate(x) for x in zip(*parts, strict=True)) if parts else (np.zeros(0, np.int64),) * 2
     if not len(starts):
         return (np.zeros(0, np.int64),) * 3
-    anchor = (least[starts] & low).astype(np.int64)
     new = np.ones(len(starts), dtype=bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (starts[1:] != starts[:-1] + 1)
     first = np.flatnonzero(new)
