@@ -175,6 +175,19 @@ def test_pii_base_spans(spark, edges):
     assert "[EMAIL] [EMAIL] [EMAIL]" in [r.text.strip() for r in pii.redacted_documents(edges).collect() if r.text]
 
 
+def test_pii_long_credentials(spark):
+    value = lambda n: ("aB3_9xK7" * (n // 8 + 1))[:n]
+    sizes = (6, 16, 128, 129, 200, 201, 5_000)
+    rows = [(n, f"see token={value(n)} and {value(max(n, 16))} end") for n in sizes]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    at = {r.doc_id: {(c.kind, c.s, c.e) for c in r["_p_c"]} for r in pii.candidates(d).collect()}
+    for n, text in rows:
+        key = text.rindex(" and ") + 5
+        assert ("secret", 4, 10 + n) in at[n] and ("key", key, len(text) - 4) in at[n]
+    left = [r.text for r in pii.redacted(pii.spans(pii.candidates(d), ([], 0.0))).collect()]
+    assert left == ["see [SECRET] and [SECRET] end"] * len(rows)
+
+
 def test_toxicity_held_out(spark):
     sf = "/root/testdata/sf0.01"
     j = Q.op1_toxicity(spark, sf).join(read_table(spark, sf, "labels"), "doc_id").toPandas()

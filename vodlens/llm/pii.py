@@ -32,8 +32,8 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "number": r"(?<![0-9A-Za-z+(])[(]?[0-9][0-9().\x20/-]{5,24}[0-9](?![0-9A-Za-z])",
-    "secret": r"(?i)(?<![a-z0-9_])(?:password|passwd|secret|token|api_?key)\x20{0,3}[=:]\x20{0,3}[\"']?[!-~]{6,200}",
-    "key": r"(?<![0-9A-Za-z_=\"/+-])[0-9A-Za-z_/+-]{16,128}(?![0-9A-Za-z_=\"/+-])",
+    "secret": r"(?i)(?<![a-z0-9_])(?:password|passwd|secret|token|api_?key)\x20{0,3}[=:]\x20{0,3}[\"']?[!-~]{6,}+",
+    "key": r"(?<![0-9A-Za-z_=\"/+-])[0-9A-Za-z_/+-]{16,}+(?![0-9A-Za-z_=\"/+-])",
 }
 # What a text must hold for a pattern to match at all: spares most texts the scan.
 NEEDS = {
