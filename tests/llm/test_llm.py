@@ -208,6 +208,22 @@ def test_neighbours_recall(spark):
     assert hit / total >= 0.9
 
 
+def test_neighbours_query_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(400)]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 100)
+    whole, dealt = (neighbours.nearest(d, F.col("vec_id") % 2 == 0, k=5, query_rows=n) for n in (1_000, 20))
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    group = next(x for x in plan.split("\n") if "FlatMapCoGroupsInArrow" in x)
+    assert all(k in group for k in ("dim#", "shard#", "block#")), group
+    found = sorted(map(tuple, dealt.collect()))
+    assert found == sorted(map(tuple, whole.collect()))
+    x = np.array([v for _, v in rows], dtype=np.float32).astype(np.float64)
+    best = {(q, i) for q in range(0, 400, 2) for i in sorted((i for i in range(400) if i != q), key=lambda i: (-(x[q] @ x[i]), i))[:5]}
+    assert len(best & {(r[0], r[2]) for r in found}) >= 0.95 * len(best)
+
+
 def test_neighbours_skip_bad_vectors(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.0, 0.0]), (1, [float("nan"), 1.0]), (2, None), (3, [None, 1.0]), (4, [1.0, 0.0]), (5, [1.0, 0.0]), (None, [1.0, 1.0])]
     d = spark.createDataFrame(rows, "vec_id long, embedding array<float>")

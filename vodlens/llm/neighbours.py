@@ -5,8 +5,10 @@ hold).  Points are dealt to shards by hash.  In a shard, vectors get one more
 component that makes all lengths equal, so the largest inner product is the least
 distance.  A directed graph is built in batches: a greedy search from the entry
 proposes neighbours, and relaxed pruning keeps a candidate only if no kept one is
-nearer to it by the factor ``ALPHA``; edges back are pruned alike.  Every query
-searches each shard with a beam; what the beams hold is scored exactly in double
+nearer to it by the factor ``ALPHA``; edges back are pruned alike.  A shard's graph
+is built once and kept in the shared checkpoint folder; queries are dealt by hash to
+blocks of about ``QUERY_ROWS``, and each (shard, block) is one group, bounded on both
+sides.  Every query searches each shard with a beam; what the beams hold is scored exactly in double
 precision and the shards' best are merged.
 
 Every valid vector is indexed.  Defined results: vectors that are null, empty,
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from .common import cut
 
 SHARD_ROWS, DEGREE, BEAM, ALPHA, BATCH = 8192, 32, 64, 1.2, 512
+QUERY_ROWS = 8192  # queries that one task searches one shard for
 
 
 def _search(x, sq, graph, entry, queries, beam):
@@ -103,18 +106,31 @@ def _graph(x, degree=DEGREE, beam=BEAM):
     return graph, entry
 
 
-def _answers(members, vectors, query_ids, queries, k):
-    """(query, id, score) of the k best of this shard per query."""
+def _stored(members, vectors):
+    """The graph of one shard as one row of bytes."""
     x = vectors.astype(np.float64)
     norm = (x * x).sum(axis=1)
     flat = np.concatenate([x, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]], axis=1).astype(np.float32)
     graph, entry = _graph(flat)
+    ends = np.cumsum([len(m) for m in members])
+    ids = np.concatenate([np.array(m, dtype="<i8") for m in members])
+    return {"flat": flat.astype("<f4").tobytes(), "graph": graph.astype("<i4").tobytes(), "entry": entry,
+            "ends": ends.astype("<i8").tobytes(), "ids": ids.tobytes()}
+
+
+def _answers(stored, query_ids, queries, k):
+    """(query, id, score) of the k best of a stored shard per query."""
+    ends, ids = (np.frombuffer(stored[c], dtype="<i8") for c in ("ends", "ids"))
+    flat = np.frombuffer(stored["flat"], dtype="<f4").reshape(len(ends), -1)
+    graph = np.frombuffer(stored["graph"], dtype="<i4").reshape(len(ends), -1).astype(np.int64)
+    members = [m.tolist() for m in np.split(ids, ends[:-1])]
+    x = flat[:, :-1].astype(np.float64)
     sq = (flat * flat).sum(axis=1)
     out = []
     for lo in range(0, len(queries), BATCH):
         q = queries[lo:lo + BATCH].astype(np.float64)
-        ends = np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32)
-        found = _search(flat, sq, graph, entry, ends, max(BEAM, 2 * k))
+        own_ends = np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32)
+        found = _search(flat, sq, graph, stored["entry"], own_ends, max(BEAM, 2 * k))
         for i, row in enumerate(found):
             row = row[row >= 0]
             score = np.array([float(np.dot(x[r], q[i])) for r in row])
@@ -124,7 +140,8 @@ def _answers(members, vectors, query_ids, queries, k):
     return out
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
+            query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query row."""
     v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<float>").alias("v"), is_query.alias("is_query"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -136,18 +153,35 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
         v.withColumn("no", first).where(F.col("no") <= k + 1).groupBy("h", "v", "dim").agg(F.sort_array(F.collect_list("id")).alias("members"))
         .select("dim", F.pmod("h", F.lit(shards)).cast("int").alias("shard"), "v", "members")
     )
-    queries = v.where("is_query").select(
-        F.col("dim").alias("q_dim"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("q_shard"), F.col("id").alias("q_id"), F.col("v").alias("q_v"))
+    asked = v.where("is_query")
+    blocks = max(1, -(-asked.count() // query_rows))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    queries = asked.select(
+        F.col("dim").alias("q_dim"), upto(shards).alias("q_shard"), F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("q_block"),
+        F.col("id").alias("q_id"), F.col("v").alias("q_v"))
+
+    def matrix(column):
+        rows = column.combine_chunks()
+        return rows.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(len(rows), -1)
+
+    def build(key, table):
+        row = _stored(table.column("members").to_pylist(), matrix(table.column("v")))
+        return pa.Table.from_pylist([{"dim": key[0].as_py(), "shard": key[1].as_py()} | row], schema=pa.schema(
+            [("dim", pa.int32()), ("shard", pa.int32()), ("flat", pa.binary()), ("graph", pa.binary()), ("entry", pa.int64()),
+             ("ends", pa.binary()), ("ids", pa.binary())]))
+
+    graphs = cut(points.groupBy("dim", "shard").applyInArrow(
+        build, "dim int, shard int, flat binary, graph binary, entry long, ends binary, ids binary"))
 
     def run(left, right):
         rows = []
         if left.num_rows and right.num_rows:
-            x, q = (np.array(t.column(c).to_pylist(), dtype=np.float32) for t, c in ((left, "v"), (right, "q_v")))
-            rows = _answers(left.column("members").to_pylist(), x, right.column("q_id").to_pylist(), q, k)
+            rows = _answers(left.to_pylist()[0], right.column("q_id").to_pylist(), matrix(right.column("q_v")), k)
         return pa.table({
             "query_id": pa.array([r[0] for r in rows], pa.int64()), "vec_id": pa.array([r[1] for r in rows], pa.int64()),
             "score": pa.array([r[2] for r in rows], pa.float64())})
 
-    found = points.groupBy("dim", "shard").cogroup(queries.groupBy("q_dim", "q_shard")).applyInArrow(run, "query_id long, vec_id long, score double")
+    found = graphs.withColumn("block", upto(blocks)).groupBy("dim", "shard", "block").cogroup(
+        queries.groupBy("q_dim", "q_shard", "q_block")).applyInArrow(run, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
