@@ -140,6 +140,16 @@ def test_packing_round_trip(spark, docs):
         assert list(s.offset) == [0, *s.length.cumsum()[:-1]] and s.length.sum() <= 2048
 
 
+def test_packing_carries_the_whole_deficit(spark):
+    d = spark.range(3_200).selectExpr("id as doc_id", "if(id % 2 = 0, 'a', 'b') as source", "'one two three four five six seven' as text")
+    shares = spark.createDataFrame([("a", 0.9), ("b", 0.1)], "source string, share double")
+    p = packing.pack(d, tokenizer_path(), tokenizer_path("byte_bpe_50k.tiktoken"), shares, window=16, quantum=4, part_tokens=3_200).toPandas()
+    assert p.length.sum() == p.groupby("doc_id").doc_tokens.first().sum()
+    p["part"], p["no"] = p.sequence_id.values >> 32, p.sequence_id.values & 0xFFFFFFFF
+    last = p[p.part == p.part.max()]  # a is owed far more than this part holds
+    assert last[last.source == "b"].no.min() >= last[last.source == "a"].no.max()
+
+
 def test_quality_counts_equal_brute_force(spark, docs):
     for r in Q.op2_quality_rules(spark, SF).collect():
         t = docs[r.doc_id]

@@ -6,8 +6,9 @@ part each source has a queue.  Before each window a source's deficit grows by it
 target share of the window; the ring of sources is walked, and a source with a
 deficit of at least ``QUANTUM`` gives tokens until deficit, queue or window ends.
 What a window could not balance stays in the deficits for the next window; what
-the parts before left unbalanced enters a part as its first deficits, computed by
-prefix sums over parts.  A part's last tokens fill windows of powers of two, so
+the parts before left unbalanced, computed by prefix sums over parts, enters a part
+whole: up to ``OPENING`` windows a source as its first deficits, the rest in equal
+steps of at least a quantum over the part's windows.  A part's last tokens fill windows of powers of two, so
 nothing is padded.
 
 Defined results: a null or empty text is its closing id alone; null sources form
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from .common import cut, parts_for
 
 SEQUENCE, QUANTUM, PART_TOKENS, END_ID = 2048, 512, 3_000_000, 1
+OPENING = 4
 
 
 class _Encoder:
@@ -78,11 +80,13 @@ def tokenised(docs: DataFrame, path: str, ranks_path: str) -> DataFrame:
     return own.mapInArrow(run, f"doc_id {kinds['doc_id']}, source string, n long, ids binary")
 
 
-def _fill(queues: dict, shares: dict, deficit: dict, window: int, quantum: int):
+def _fill(queues: dict, shares: dict, deficit: dict, window: int, quantum: int, later: dict):
     """Yields (sequence, offset, row, start, length) until all queues are empty.
 
-    queues: source to deque of [row, tokens]; consumed."""
+    queues: source to deque of [row, tokens]; consumed.  later: deficits that
+    enter in steps, all of them by the last whole window; consumed."""
     left = sum(n for q in queues.values() for _, n in q)
+    step = {s: max(quantum, abs(d) / max(1, left // window)) for s, d in later.items()}
     ring = deque(s for s, q in queues.items() if q)
     begun: dict = {}
     sequence = 0
@@ -90,7 +94,9 @@ def _fill(queues: dict, shares: dict, deficit: dict, window: int, quantum: int):
         size = window if left >= window else 1 << (left.bit_length() - 1)
         whole = sum(shares[s] for s in ring) or 1.0
         for s in ring:
-            deficit[s] += size * shares[s] / whole
+            more = max(-step[s], min(step[s], later[s]))
+            later[s] -= more
+            deficit[s] += size * shares[s] / whole + more
         at = idle = 0
         while at < size:
             s = ring[0]
@@ -164,8 +170,9 @@ def pack(docs: DataFrame, path: str, ranks_path: str, shares: DataFrame | None =
             queues.setdefault(sources[i], deque()).append((i, counts[i]))
         known = {r["of_source"]: r for r in right.to_pylist()}
         share_of = {s: known[s]["share"] for s in queues}
-        owed = {s: max(-4.0 * window, min(4.0 * window, known[s]["deficit"])) for s in queues}
-        p = list(_fill(queues, share_of, owed, window, quantum))
+        owed = {s: max(-OPENING * window, min(OPENING * window, known[s]["deficit"])) for s in queues}
+        later = {s: known[s]["deficit"] - owed[s] for s in queues}
+        p = list(_fill(queues, share_of, owed, window, quantum, later))
         rows = [x[2] for x in p]
         pieces = [np.frombuffer(blobs[r][2 * a:2 * (a + k)], dtype="<u2").astype("<u4").tobytes() for _, _, r, a, k in p]
         return pa.table([
