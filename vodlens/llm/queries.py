@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licences, mixing, neighbours, packing, pii, quality, substring, suffix, toxicity
-from .common import cut, read_table, tokenizer_path
+from . import jaccard, licences, mixing, neighbours, packing, periods, pii, quality, substring, suffix, toxicity
+from .common import cut, read_table, tokenizer_path, words
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,3 +66,28 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list(F.col("spans")).alias("spans")
     )
+
+
+def _looped(docs: DataFrame) -> DataFrame:
+    """Every tenth id (by crc32, null: none) has its text end in repeats of a block:
+    with g = floor(crc32 / 10), from word g % n on it goes round in 1 + floor((n -
+    g % n) / (3 + g % 8)) words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    d = docs.select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, words(F.col("text"))))
+    n, g = F.size("w").cast("long"), F.floor(F.col("h") / 10)
+    d = d.withColumn("n", n).withColumn("a", F.when(F.col("n") > 0, g % F.col("n"))).withColumn(
+        "p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + g % 8)))
+    block = F.slice("w", (F.col("a") + 1).cast("int"), F.col("p").cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(block, F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int"))), F.lit(1), (F.col("n") - F.col("a")).cast("int"))
+    turned = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a").cast("int")), tail), " ")
+    return d.select("doc_id", F.when(F.col("a").isNotNull(), turned).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periods.periodic_runs(_looped(read_table(spark, sf_dir, "documents")))
+    found = found.withColumn("best", periods.longest_exponent(F.col("runs")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(periods.run_list(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))

@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": q.op8_mixing,
     "op9_substring": q.op9_substring,
     "op10_pii": q.op10_pii,
+    "op13_periodic_runs": q.op13_periodic_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {}
