@@ -26,7 +26,6 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,27 +33,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import word_slices
+
 MIN_LENGTH, MIN_EXPONENT = 24, 3
 SEED = 8  # MIN_LENGTH >= 3 * SEED and MIN_EXPONENT >= 3 make every run hold a matching grid place
 CHUNK_BYTES = 2 << 20  # text handled together inside a task
-SLICE_BYTES = 1 << 20  # text split into words at once
 GRID_CELLS = 1 << 19  # grid places compared at once, of one period at least
 ROOM = 4  # symbols a text that end the compression
-_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 RUNS = "array<struct<start:long,length:long,period:long>>"
 
 
-def word_slices(text: bytes) -> Iterator[list[bytes]]:
-    """The words of a text, as lists of the words of about ``SLICE_BYTES`` each."""
-    at = 0
-    while at < len(text):
-        gap = _BLANK.search(text, at + SLICE_BYTES)
-        end = gap.start() if gap else len(text)
-        yield text[at:end].split()
-        at = end
-
-
 class Grammar:
     """Run-length grammar of texts, all levels in flat arrays.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licences, mixing, neighbours, packing, periods, pii, quality, substring, suffix, toxicity
+from . import jaccard, licences, mixing, neighbours, packing, periods, pii, quality, ranked, substring, suffix, toxicity
 from .common import cut, read_table, tokenizer_path, words
 
 
@@ -68,6 +68,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=50)
+
+
 def _looped(docs: DataFrame) -> DataFrame:
     """Every tenth id (by crc32, null: none) has its text end in repeats of a block:
     with g = floor(crc32 / 10), from word g % n on it goes round in 1 + floor((n -

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import queries as q
+from .oracle import ORACLE_SQL
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": q.op1_toxicity,
@@ -19,7 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": q.op8_mixing,
     "op9_substring": q.op9_substring,
     "op10_pii": q.op10_pii,
+    "op12_ranked_search": q.op12_ranked_search,
     "op13_periodic_runs": q.op13_periodic_runs,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "ORACLE_SQL"]
