@@ -259,12 +259,13 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50, item_id: str = "item_
     spark.createDataFrame([], schema).write.parquet(path)
     for block in range(n_blocks if total.n else 0):
         terms: dict[object, Counter] = {}
-        for r in asked.where(F.col("block") == block).collect():  # about BLOCK_BYTES of text
-            terms.setdefault(r.item_id, Counter()).update(term_counts(r.text.encode()))
+        rows = asked.where(F.col("block") == block).select("item_id", "text").toArrow()  # about BLOCK_BYTES of text
+        for i, t in zip(rows["item_id"].to_pylist(), rows["text"].to_pylist(), strict=True):
+            terms.setdefault(i, Counter()).update(term_counts(t.encode()))
         df = _document_counts(chunks, sorted({t for c in terms.values() for t in c}))
         ready = _Asked(list(terms.items()), df, total.n, total.l)
         if ready.ids:
-            chunks.mapInArrow(_searcher(ready, k), schema).write.mode("append").parquet(path)
+            chunks.mapInArrow(_searcher(ready, k, rows.schema.field("item_id").type), schema).write.mode("append").parquet(path)
     found = spark.read.parquet(path)
     order = [F.desc("score"), F.asc_nulls_last("doc_id")]
     few = found.withColumn("no", F.row_number().over(Window.partitionBy("item_id", "slice").orderBy(*order))).where(F.col("no") <= k)
@@ -272,7 +273,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = 50, item_id: str = "item_
     return few.withColumn("rank", rank).where(F.col("rank") <= k).select("item_id", "rank", "doc_id", "score")
 
 
-def _searcher(asked: _Asked, k: int):
+def _searcher(asked: _Asked, k: int, item_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, part = _Best(len(asked.ids), k), 0
         for b in batches:
@@ -284,7 +285,7 @@ def _searcher(asked: _Asked, k: int):
         rows = [(asked.ids[q], i, -s) for q, found in enumerate(best.rows) for s, _, i in found]
         if rows:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], id_type), pa.array([r[2] for r in rows], pa.int64()),
-                 pa.array([part] * len(rows), pa.int32())], names=["item_id", "doc_id", "score", "slice"])
+                [pa.array([r[0] for r in rows], item_type), pa.array([r[1] for r in rows], id_type),
+                 pa.array([r[2] for r in rows], pa.int64()), pa.array([part] * len(rows), pa.int32())], names=["item_id", "doc_id", "score", "slice"])
 
     return run
