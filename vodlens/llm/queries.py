@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, licences, mixing, neighbours, packing, periods, pii, quality, ranked, substring, suffix, toxicity
+from . import html, jaccard, licences, mixing, neighbours, packing, periods, pii, quality, ranked, substring, suffix, toxicity
 from .common import cut, read_table, tokenizer_path, words
 
 
@@ -68,6 +68,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html.extract(pages, html.fit(pages))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), k=50)
 

@@ -20,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": q.op8_mixing,
     "op9_substring": q.op9_substring,
     "op10_pii": q.op10_pii,
+    "op11_main_text": q.op11_main_text,
     "op12_ranked_search": q.op12_ranked_search,
     "op13_periodic_runs": q.op13_periodic_runs,
 }
