@@ -61,6 +61,15 @@ def test_leaving_soon_is_subset(spark):
     assert ls.count() == pv.where(F.col("SubMenuId").isin("48", "49", "50")).count()
 
 
+def test_catalogues_list_every_part(spark):
+    from vodlens.sources import fixtures
+
+    parts = fixtures.table(spark, SF, "part").count()
+    assert [c.count() for c in fixtures.movie_folders(spark, SF)] == [parts, parts]
+    rows = q(spark, "join_folder_left").groupBy("ItemId").agg(F.countDistinct("Folder").alias("n"), F.max("Folder").alias("f")).collect()
+    assert any(r["f"] is None for r in rows) and any(r["n"] > 1 for r in rows)  # no folder; several folders
+
+
 def test_pivot_other_apps_give_zero_rows(spark):
     p = q(spark, "customer_app_pivot")
     zero = p.where((F.col("VOD") == 0) & (F.col("CHILD") == 0) & (F.col("RELAX") == 0)).count()
@@ -69,7 +78,7 @@ def test_pivot_other_apps_give_zero_rows(spark):
 
 def test_expected_fixture_figures(spark):
     # Figures computed independently with plain SQL (FIXTURES.md part C).
-    assert q(spark, "vod_by_folder").count() == 1784
+    assert q(spark, "vod_by_folder").count() == 1961
     assert q(spark, "customer_app_pivot").count() == 1617
     assert q(spark, "unique_pageview").count() == 2495
     assert q(spark, "series_movies").count() == 4006

@@ -130,7 +130,7 @@ def _hot(logs, col, value):
 
 def test_hot_movie_is_split_by_aqe_when_the_catalogue_is_not_broadcast(spark):
     i = Inputs(spark, SF)
-    logs = _hot(i.logs.where(F.col("LogId") == "52"), "ItemId", "7")  # movie 7 has a folder
+    logs = _hot(i.logs.where(F.col("LogId") == "52"), "ItemId", "70")  # movie 70 has a folder
     plan, same = _split_by_aqe(spark, lambda: joins.with_folders(logs, i.listfolder))
     assert "isFinalPlan=true" in plan and "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     assert "skew=true" in plan  # the hot movie's partition was split

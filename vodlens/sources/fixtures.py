@@ -154,22 +154,18 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def movie_folders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The two catalogue tables behind the movie→folder lookup (SRC6).
+# Movie id in a catalogue = part key + its offset, so each catalogue
+# lists every part; items 0-20 are in none (they keep a NULL folder in the LEFT join)
+# and items from 151 on are in both (fan-out).
+MOVIE_KEY_OFFSET, SERIES_KEY_OFFSET = 20, 150
 
-    Which parts each catalogue lists is its *membership rule*: a ninth of the
-    parts are missing from the movie catalogue (those not in the series one
-    either keep a NULL folder in the LEFT join) and a tenth are listed in the
-    series catalogue (with the movie folder too: fan-out).
-    It shapes the dimension only; every log row still reaches the reports.
-    """
+
+def movie_folders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two catalogue tables behind the movie→folder lookup (SRC6), both over
+    the whole ``part`` table."""
     p = table(spark, sf_dir, "part")
-    movies = p.where(F.col("p_partkey") % 9 != 0).select(
-        F.col("p_partkey").alias("ID"), F.col("p_size").cast("int").alias("Folder")
-    )
-    series = p.where(F.col("p_partkey") % 10 == 1).select(
-        F.col("p_partkey").alias("ID"), (F.col("p_size") % 5 + 1).cast("int").alias("Folder")
-    )
+    movies = p.select((F.col("p_partkey") + MOVIE_KEY_OFFSET).alias("ID"), F.col("p_size").cast("int").alias("Folder"))
+    series = p.select((F.col("p_partkey") + SERIES_KEY_OFFSET).alias("ID"), (F.col("p_size") % 5 + 1).cast("int").alias("Folder"))
     return movies, series
 
 
