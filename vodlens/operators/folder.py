@@ -23,42 +23,44 @@ def _finished_views(logs: DataFrame, *cols) -> DataFrame:
     return logs.where(log_is("52")).select("Date", "CustomerID", "ItemId", *cols)
 
 
-def vod_by_folder(logs: DataFrame, cus: DataFrame, listfolder: DataFrame) -> DataFrame:
-    """AG1: Date, Area, UType, Folder → TotalViews, TotalCustomers, TotalDuration."""
-    v = with_folders(_finished_views(logs, capped().alias("dur")), listfolder)
-    rows = by_customer(v, cus, ["Date", "CustomerID", "Folder"], {"n": one(), "dur": F.col("dur")})
-    return rows.groupBy("Date", "Area", "UType", "Folder").agg(
+def folder_facts(logs: DataFrame, cus: DataFrame, listfolder: DataFrame, by_level: bool = False) -> DataFrame:
+    """Rows of AG1 (AG2 with ``by_level``) before grouping: keys, CustomerID and the
+    additive measures ``n`` and ``dur``."""
+    cols = [capped().alias("dur")]
+    if by_level:
+        cols.append(level("RealTimePlaying", "ElapsedTimePlaying", "Duration").alias("Level"))
+    v = with_folders(_finished_views(logs, *cols), listfolder)
+    keys = ["Date", "CustomerID", *(["Level"] if by_level else []), "Folder"]
+    return by_customer(v, cus, keys, {"n": one(), "dur": F.col("dur")})
+
+
+def _views_by(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(
         F.sum("n").alias("TotalViews"),
         F.count_distinct("CustomerID").alias("TotalCustomers"),
         F.round(F.sum("dur"), 2).alias("TotalDuration"),
     )
 
 
+def vod_by_folder(logs: DataFrame, cus: DataFrame, listfolder: DataFrame) -> DataFrame:
+    """AG1: Date, Area, UType, Folder → TotalViews, TotalCustomers, TotalDuration."""
+    return _views_by(folder_facts(logs, cus, listfolder), "Date", "Area", "UType", "Folder")
+
+
 def vod_by_folder_level(logs: DataFrame, cus: DataFrame, listfolder: DataFrame) -> DataFrame:
     """AG2: AG1 split by completion level."""
-    v = _finished_views(
-        logs,
-        capped().alias("dur"),
-        level("RealTimePlaying", "ElapsedTimePlaying", "Duration").alias("Level"),
-    )
-    rows = by_customer(
-        with_folders(v, listfolder),
-        cus,
-        ["Date", "CustomerID", "Level", "Folder"],
-        {"n": one(), "dur": F.col("dur")},
-    )
-    return rows.groupBy("Date", "Area", "UType", "Level", "Folder").agg(
-        F.sum("n").alias("TotalViews"),
-        F.count_distinct("CustomerID").alias("TotalCustomers"),
-        F.round(F.sum("dur"), 2).alias("TotalDuration"),
-    )
+    return _views_by(folder_facts(logs, cus, listfolder, by_level=True), "Date", "Area", "UType", "Level", "Folder")
+
+
+def session_facts(logs: DataFrame, cus: DataFrame, listfolder: DataFrame) -> DataFrame:
+    """Rows of AG9 before grouping."""
+    v = with_folders(_finished_views(logs, "Session"), listfolder)
+    return by_customer(v, cus, ["Date", "CustomerID", "Folder", "Session"])
 
 
 def sessions_by_location(logs: DataFrame, cus: DataFrame, listfolder: DataFrame) -> DataFrame:
     """AG9: Date, Area, UType, Folder → distinct sessions."""
-    v = with_folders(_finished_views(logs, "Session"), listfolder)
-    rows = by_customer(v, cus, ["Date", "CustomerID", "Folder", "Session"])
-    return rows.groupBy("Date", "Area", "UType", "Folder").agg(
+    return session_facts(logs, cus, listfolder).groupBy("Date", "Area", "UType", "Folder").agg(
         F.count_distinct("Session").alias("TotalSession")
     )
 

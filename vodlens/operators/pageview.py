@@ -18,10 +18,9 @@ def valid_submenu(c: str = "SubMenuId"):
     return F.col(c).isNotNull() & ~F.col(c).isin(*SUBMENU_PLACEHOLDERS)
 
 
-def unique_pageview(logs: DataFrame, cus: DataFrame) -> DataFrame:
-    """AG10: Date, Area, UType, SubMenuId ('0' → '1000'), ItemId →
-    PV (clicks, LogId 512), TotalViews (LogId 52), distinct customers and
-    sessions among finished views, capped duration of finished views."""
+def pageview_facts(logs: DataFrame, cus: DataFrame) -> DataFrame:
+    """Rows of AG10 before grouping; ``Viewer`` and ``Visit`` are the customer and
+    session of rows that hold finished views, else NULL."""
     is_view = log_is("52")
     rows = by_customer(
         logs.where(log_is("52", "512") & valid_submenu()).withColumn("SubMenuId", submenu()),
@@ -34,14 +33,21 @@ def unique_pageview(logs: DataFrame, cus: DataFrame) -> DataFrame:
         },
     )
     seen = F.col("views") > 0
+    return rows.withColumns({"Viewer": F.when(seen, F.col("CustomerID")), "Visit": F.when(seen, F.col("Session"))})
+
+
+def unique_pageview(logs: DataFrame, cus: DataFrame) -> DataFrame:
+    """AG10: Date, Area, UType, SubMenuId ('0' → '1000'), ItemId →
+    PV (clicks, LogId 512), TotalViews (LogId 52), distinct customers and
+    sessions among finished views, capped duration of finished views."""
     return (
-        rows.groupBy("Date", "Area", "UType", "SubMenuId", "ItemId")
+        pageview_facts(logs, cus).groupBy("Date", "Area", "UType", "SubMenuId", "ItemId")
         .agg(
             F.sum("pv").alias("PV"),
             F.sum("views").alias("TotalViews"),
-            F.count_distinct(F.when(seen, F.col("CustomerID"))).alias("TotalCustomers"),
+            F.count_distinct("Viewer").alias("TotalCustomers"),
             F.round(F.sum("dur"), 2).alias("TotalDuration"),
-            F.count_distinct(F.when(seen, F.col("Session"))).alias("UniquePV"),
+            F.count_distinct("Visit").alias("UniquePV"),
         )
     )
 

@@ -20,6 +20,7 @@ from ..sources import dims, fixtures
 from ..sources import logs as log_src
 from ..sources import views as view_src
 from ..sources import vouchers
+from . import daily, states
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -271,6 +272,23 @@ def _topic_lane_funnel(i: Inputs) -> DataFrame:
     return topic_lane.topic_lane_funnel(i.logs)
 
 
+# --- reports added up from landed states of two dump days ------------------------------
+
+
+def _backfill(name: str) -> None:
+    @register(f"backfill_{name}")
+    def _query(i: Inputs) -> DataFrame:
+        root = scratch_path(i.spark, "states")
+        dims_ = daily.Dims(i.cus, i.listfolder, i.fol)
+        for day, logs in fixtures.logs_by_dump(i.spark, i.sf_dir).items():
+            states.land_day(logs, dims_, day, root, [name])
+        return states.combined(i.spark, root, name)
+
+
+for _name in ("vod_by_folder", "vod_by_main_menu", "vod_by_menu", "unique_pageview"):
+    _backfill(_name)
+
+
 # --- per-device view reports ------------------------------------------------------------
 
 

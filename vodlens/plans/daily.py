@@ -71,6 +71,17 @@ JOBS: dict[int, Report] = {
 }
 
 
+# Jobs whose report can be landed as a state (operators.mergeable).
+STATE_JOBS = {
+    1: "vod_by_folder_level", 2: "vod_by_folder", 3: "vod_by_movie_chapter", 4: "vod_by_movie", 5: "customers_by_location",
+    6: "vod_by_menu", 7: "vod_by_main_menu", 9: "sessions_by_location", 10: "unique_pageview",
+}
+
+
+def mergeable_reports(jobs: list[int] | None) -> list[str]:
+    return [name for n, name in STATE_JOBS.items() if jobs is None or n in jobs]
+
+
 def parse_jobs(spec: str) -> tuple[str, list[int]]:
     """``'k,2,10'`` → (``'k'``, [2, 10]); no job numbers or ``0`` → all jobs."""
     parts = [p.strip() for p in spec.split(",") if p.strip()]
@@ -157,20 +168,33 @@ def run_days(
     jobs: list[int] | None,
     out: str,
     how: str = "persist",
+    states_root: str | None = None,
 ) -> None:
     """Run the jobs over the logs of each dump day and write every report as Parquet
-    under ``out/<report>/dt=<day>``; other days' results are not touched."""
+    under ``out/<report>/dt=<day>``; other days' results are not touched.  With
+    ``states_root`` the reports that count distinct ids also land their state there,
+    for ``states.combined`` to add up over dump days."""
     from ..sinks.files import write_table
+    from .states import land_day
 
     cus = snapshots_of(dims.cus, list(logs_by_day))
     errors: list[Exception] = []
     for day, logs in logs_by_day.items():
+        day_dims = Dims(cus[day], dims.listfolder, dims.fol)
+
         def sink(name: str, df: DataFrame, day: str = day) -> None:
             write_table(df, f"{out}/{name}/dt={day}")
 
         try:
-            run_reports(logs, Dims(cus[day], dims.listfolder, dims.fol), jobs, sink, how)
-        except ExceptionGroup as e:
+            base = materialize(logs, how)
+            try:
+                run_reports(base, day_dims, jobs, sink, "none")
+                if states_root:
+                    land_day(base, day_dims, day, states_root, mergeable_reports(jobs))
+            finally:
+                if how == "persist":
+                    base.unpersist()
+        except Exception as e:
             e.add_note(f"dump day {day}")
             errors.append(e)
     if errors:
@@ -202,6 +226,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--listfolder", required=True, help="Parquet with MovieID, Folder")
     p.add_argument("--menus", required=True, help="Parquet with MenuID, FolderID")
     p.add_argument("--out", required=True)
+    p.add_argument("--states", help="folder of report states, to add dump days up exactly")
     p.add_argument("--materialize", default="persist", choices=["persist", "checkpoint", "none"])
     a = p.parse_args(argv)
 
@@ -221,7 +246,7 @@ def main(argv: list[str] | None = None) -> None:
         fol=dim_src.menu_folders(spark.read.parquet(a.menus)),
     )
 
-    run_days(logs, dims, jobs, a.out, a.materialize)
+    run_days(logs, dims, jobs, a.out, a.materialize, a.states)
 
 
 if __name__ == "__main__":

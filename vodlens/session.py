@@ -40,6 +40,9 @@ DEFAULT_CONF = {
     # from the shared folder once nothing references them, so nightly runs do
     # not accumulate files there.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # The driver keeps the plans of this many past queries (Spark's default is
+    # 1,000); a nightly run has hundreds of wide plans and shows none of them.
+    "spark.sql.ui.retainedExecutions": "20",
 }
 
 # Applied when the session starts (client-side flags are read once).
@@ -48,6 +51,7 @@ STARTUP_CONF = (
     "spark.python.sql.dataFrameDebugging.enabled",
     "spark.ui.showConsoleProgress",
     "spark.cleaner.referenceTracking.cleanCheckpoints",
+    "spark.sql.ui.retainedExecutions",
 )
 
 

@@ -143,6 +143,15 @@ def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(ts.alias("ts"), F.to_date(ts).alias("Date"), *[f[n].alias(n) for n in LOG_FIELDS])
 
 
+def logs_by_dump(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """``logs`` as two dump days: every fifth event id arrives late, in the second."""
+    ev = events_with_k(spark, sf_dir)
+    f = _log_fields(ev)
+    ts, late = F.col("ts").cast("timestamp"), F.col("event_id") % 5 == 0
+    cols = [ts.alias("ts"), F.to_date(ts).alias("Date"), *[f[n].alias(n) for n in LOG_FIELDS]]
+    return {"2024-02-01": ev.where(~late).select(*cols), "2024-02-02": ev.where(late).select(*cols)}
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return c.select(
