@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import capped, level, log_is
-from .joins import by_customer, with_folders
+from .joins import by_customer, carried, with_folders
 
 def one():
     """A count of 1 per row (bigint, so sums never overflow an int)."""
@@ -20,7 +20,7 @@ def one():
 
 
 def _finished_views(logs: DataFrame, *cols) -> DataFrame:
-    return logs.where(log_is("52")).select("Date", "CustomerID", "ItemId", *cols)
+    return logs.where(log_is("52")).select("Date", "CustomerID", "ItemId", *carried(logs), *cols)
 
 
 def folder_facts(logs: DataFrame, cus: DataFrame, listfolder: DataFrame, by_level: bool = False) -> DataFrame:

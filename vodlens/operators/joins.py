@@ -33,6 +33,16 @@ FIXED_WIDTH = 8
 SNAPSHOT_COL = "SnapshotDate"
 
 
+# Columns of logs and customers landed in matching buckets (sources.bucketed).
+KEY, SALT = "_ck", "_salt"
+
+
+def carried(df: DataFrame) -> list[str]:
+    """The bucket columns, where ``df`` still has both; a projection that keeps them
+    keeps the later customer join free of a shuffle."""
+    return [KEY, SALT] if {KEY, SALT} <= set(df.columns) else []
+
+
 def max_broadcast_rows(df: DataFrame) -> int:
     v = df.sparkSession.conf.get(CONF_KEY, None)
     return int(v) if v else DEFAULT_MAX_BROADCAST_ROWS
@@ -80,7 +90,10 @@ def with_customers(df: DataFrame, cus: DataFrame, customer_col: str = "CustomerI
     The log id is converted once to a bigint key so ``'007'`` matches 7, as the
     original comparison of text with a number did.
     """
-    f = df.withColumn("_ck", key(customer_col))
+    if carried(df) and SALT in cus.columns:
+        c = cus.select("ID", "Area", "UType", F.col(SALT).alias("_cus_salt"))
+        return df.join(c, (F.col(KEY) == F.col("ID")) & (F.col(SALT) == F.col("_cus_salt"))).drop("ID", "_cus_salt", KEY, SALT)
+    f = df.drop(KEY, SALT).withColumn("_ck", key(customer_col))
     c = customer_dim(cus)
     cond = F.col("_ck") == F.col("ID")
     if "_snap" in c.columns and "Date" in df.columns:
@@ -92,6 +105,8 @@ def with_customers(df: DataFrame, cus: DataFrame, customer_col: str = "CustomerI
 def customer_dim(cus: DataFrame) -> DataFrame:
     """The projection of the customer table that is joined (and size-checked)."""
     cols = ["ID", "Area", "UType"]
+    if SALT in cus.columns:  # a landed table repeats hot customers
+        cus = cus.where(F.col(SALT) == 0)
     if SNAPSHOT_COL in cus.columns:
         return cus.select(*cols, F.col(SNAPSHOT_COL).cast("date").alias("_snap"))
     return cus.select(*cols)
@@ -103,7 +118,8 @@ def by_customer(
     keys: list[str],
     measures: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Attach Area/UType to fact rows, choosing the plan by dimension size.
+    """Attach Area/UType to fact rows, choosing the plan by dimension size (tables
+    landed in matching buckets join bucket by bucket, whatever their size).
 
     ``keys`` must contain ``CustomerID``; ``measures`` are additive columns
     (counts as 0/1, sums) that the caller re-aggregates with ``sum``.
@@ -116,7 +132,10 @@ def by_customer(
       shuffle-join that much smaller frame.
     """
     measures = measures or {}
-    rows = facts.select(*keys, *[m.alias(n) for n, m in measures.items()])
+    rows = facts.select(*keys, *carried(facts), *[m.alias(n) for n, m in measures.items()])
+    if carried(facts) and SALT in cus.columns:
+        return with_customers(rows, cus)
+    rows = rows.drop(KEY, SALT)
     if fits_broadcast(customer_dim(cus)):
         return with_customers(rows, cus)
     if measures:

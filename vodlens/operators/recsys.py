@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import app_from_id, capped, is_number, level, log_is, num, playing_time, position, submenu
-from .joins import by_customer
+from .joins import by_customer, carried
 
 # Half-way values round the same way in every engine after this nudge.
 ROUND_NUDGE = 1e-9
@@ -35,6 +35,7 @@ def recsys_impressions(logs: DataFrame, cus: DataFrame) -> DataFrame:
     events = rows.select(
         "Date",
         "CustomerID",
+        *carried(logs),
         app_from_id().alias("AppId"),
         sub.alias("SubMenuId"),
         F.when(home, 1).otherwise(0).alias("isHome"),
@@ -83,6 +84,7 @@ def recsys_conversion(logs: DataFrame, cus: DataFrame) -> DataFrame:
     ev = logs.where(is51 | is52).select(
         "Date",
         "CustomerID",
+        *carried(logs),
         F.col("AppName").alias("AppId"),
         submenu().alias("Folder"),
         F.when(home, 1).otherwise(0).alias("isHome"),

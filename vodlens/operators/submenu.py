@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import log_is, submenu
-from .joins import by_customer
+from .joins import by_customer, carried
 
 TUPLE = ["Date", "AppId", "CustomerID", "Session", "SessionSubMenu", "SubMenuId"]
 
@@ -38,8 +38,10 @@ def submenu_behaviours(logs: DataFrame, cus: DataFrame) -> DataFrame:
         F.col("MenuSession").alias("SessionSubMenu"),
         submenu().alias("SubMenuId"),
         "LogId",
+        *carried(logs),
     )
-    tuples = rows.groupBy(*TUPLE).agg(
+    # bucket columns follow from customer, day, app and sessions: the same groups
+    tuples = rows.groupBy(*TUPLE, *carried(logs)).agg(
         F.bool_or(log_is("57")).alias("viewed"), F.bool_or(log_is("512")).alias("clicked")
     )
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in TUPLE])

@@ -16,7 +16,7 @@ from ..operators import clean, customer, folder, menu, movie, pageview, recsys,
 from ..operators import views as vw
 from ..operators.joins import with_customers
 from ..session import scratch_path
-from ..sources import dims, fixtures
+from ..sources import bucketed, dims, fixtures
 from ..sources import logs as log_src
 from ..sources import views as view_src
 from ..sources import vouchers
@@ -272,6 +272,20 @@ def _topic_lane_funnel(i: Inputs) -> DataFrame:
     return topic_lane.topic_lane_funnel(i.logs)
 
 
+# --- reports over logs and customers landed in matching buckets ---------------------------
+
+def _over_buckets(name: str, report) -> None:
+    @register(f"bucketed_{name}")
+    def _query(i: Inputs) -> DataFrame:
+        landed = bucketed.land(i.logs, i.cus)
+        return report(landed.logs, daily.Dims(landed.cus, i.listfolder, i.fol))
+
+
+_over_buckets("vod_by_folder", lambda l, d: folder.vod_by_folder(l, d.cus, d.listfolder))
+_over_buckets("vod_by_main_menu", lambda l, d: menu.vod_by_main_menu(l, d.cus))
+_over_buckets("submenu_behaviours", lambda l, d: submenu.submenu_behaviours(l, d.cus))
+
+
 # --- reports added up from landed states of two dump days ------------------------------
 
 

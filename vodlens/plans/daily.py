@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..operators import customer, folder, menu, movie, pageview, recsys, submenu, topic_lane
 from ..operators.joins import SNAPSHOT_COL
+from ..sources import bucketed
 
 
 @dataclass
@@ -103,6 +104,8 @@ def materialize(logs: DataFrame, how: str = "persist") -> DataFrame:
       that fit the cluster.
     * ``checkpoint`` — write them once to the shared ``spark.checkpoint.dir``
       and cut the lineage; reports then re-read the files.  For very large runs.
+    * ``bucketed`` (of ``run_days``) — logs and customers are landed once in matching
+      buckets (``sources.bucketed``), so no report shuffles the logs for its join.
     * ``none`` — the input is already a landed table (e.g. the streaming
       ingest output); each report reads only its own columns and days.
     """
@@ -185,8 +188,13 @@ def run_days(
         def sink(name: str, df: DataFrame, day: str = day) -> None:
             write_table(df, f"{out}/{name}/dt={day}")
 
+        landed = None
         try:
-            base = materialize(logs, how)
+            if how == "bucketed":
+                landed = bucketed.land(logs, day_dims.cus)
+                base, day_dims = landed.logs, Dims(landed.cus, dims.listfolder, dims.fol)
+            else:
+                base = materialize(logs, how)
             try:
                 run_reports(base, day_dims, jobs, sink, "none")
                 if states_root:
@@ -194,6 +202,8 @@ def run_days(
             finally:
                 if how == "persist":
                     base.unpersist()
+                if landed:
+                    landed.drop()
         except Exception as e:
             e.add_note(f"dump day {day}")
             errors.append(e)
@@ -227,7 +237,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--menus", required=True, help="Parquet with MenuID, FolderID")
     p.add_argument("--out", required=True)
     p.add_argument("--states", help="folder of report states, to add dump days up exactly")
-    p.add_argument("--materialize", default="persist", choices=["persist", "checkpoint", "none"])
+    p.add_argument("--materialize", default="persist", choices=["persist", "checkpoint", "bucketed", "none"])
     a = p.parse_args(argv)
 
     spark = get_spark()
