@@ -83,11 +83,12 @@ def _top(v, t):
 
 
 VIEW_REPORTS = {
-    "views_daily": lambda v, t: vw.views_daily(v, vw.calendar_of(v)),
-    "views_total": lambda v, t: vw.views_total(vw.views_daily(v, vw.calendar_of(v))),
-    "views_day_hour": lambda v, t: vw.views_day_hour(v, vw.calendar_of(v)),
+    "views_daily": lambda v, t: vw.views_daily(vw.dense_hours(v)),
+    "views_total": lambda v, t: vw.views_total(vw.views_daily(vw.dense_hours(v))),
+    "views_day_hour": lambda v, t: vw.views_day_hour(vw.dense_hours(v)),
     "views_hour_total": lambda v, t: vw.views_hour_total(v),
-    "fmt_thousands": lambda v, t: vw.views_daily_formatted(vw.views_daily(v, vw.calendar_of(v))),
+    "views_cube": lambda v, t: vw.views_cube(v),
+    "fmt_thousands": lambda v, t: vw.views_daily_formatted(vw.views_daily(vw.dense_hours(v))),
     "item_views": lambda v, t: vw.item_views(v),
     "top_items_daily": lambda v, t: vw.top_items_daily(vw.item_views(v)),
     "top_items_with_titles": _top,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import capped, log_is, main_menu_folder
+from .distincts import flagged_counts
 from .joins import by_customer, with_folders, with_menus
 
 
@@ -22,14 +23,12 @@ def main_menu_facts(logs: DataFrame, cus: DataFrame) -> DataFrame:
 def vod_by_main_menu(logs: DataFrame, cus: DataFrame) -> DataFrame:
     """AG6: Date, Area, Folder (app: VOD 2, RELAX 3, CHILD 4, else NULL) →
     views, distinct customers, distinct sessions, capped duration."""
-    return (
-        main_menu_facts(logs, cus).groupBy("Date", "Area", "Folder")
-        .agg(
-            F.sum("n").alias("TotalViews"),
-            F.count_distinct("CustomerID").alias("TotalCustomers"),
-            F.count_distinct("Session").alias("TotalSession"),
-            F.round(F.sum("dur"), 2).alias("TotalDuration"),
-        )
+    return flagged_counts(
+        main_menu_facts(logs, cus),
+        ["Date", "Area", "Folder"],
+        {"TotalCustomers": "CustomerID", "TotalSession": "Session"},
+        ["n", "dur"],
+        [F.sum("n").alias("TotalViews"), F.round(F.sum("dur"), 2).alias("TotalDuration")],
     )
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import capped, log_is, submenu
+from .distincts import flagged_counts
 from .joins import by_customer
 
 # Placeholder submenu ids that are rejected.
@@ -40,15 +41,12 @@ def unique_pageview(logs: DataFrame, cus: DataFrame) -> DataFrame:
     """AG10: Date, Area, UType, SubMenuId ('0' → '1000'), ItemId →
     PV (clicks, LogId 512), TotalViews (LogId 52), distinct customers and
     sessions among finished views, capped duration of finished views."""
-    return (
-        pageview_facts(logs, cus).groupBy("Date", "Area", "UType", "SubMenuId", "ItemId")
-        .agg(
-            F.sum("pv").alias("PV"),
-            F.sum("views").alias("TotalViews"),
-            F.count_distinct("Viewer").alias("TotalCustomers"),
-            F.round(F.sum("dur"), 2).alias("TotalDuration"),
-            F.count_distinct("Visit").alias("UniquePV"),
-        )
+    return flagged_counts(
+        pageview_facts(logs, cus),
+        ["Date", "Area", "UType", "SubMenuId", "ItemId"],
+        {"TotalCustomers": "Viewer", "UniquePV": "Visit"},
+        ["pv", "views", "dur"],
+        [F.sum("pv").alias("PV"), F.sum("views").alias("TotalViews"), F.round(F.sum("dur"), 2).alias("TotalDuration")],
     )
 
 

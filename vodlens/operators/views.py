@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fmt import day_label, fmt_unit, hour_label
 from ..schema import DEVICES
+from ..sources.listing import NULL_FOLDER, partition_values
 from .joins import sized_broadcast
 
 # Fixed value: the series application whose views are analysed.
@@ -38,6 +39,16 @@ def calendar_of(views: DataFrame) -> DataFrame:
     return span.select(F.explode(F.sequence("lo", "hi")).alias("day"))
 
 
+def calendar_of_folders(spark: SparkSession, root: str) -> DataFrame:
+    """SRC10 over landed views: every day between the first and the last ``day=``
+    folder of any device, from folder names alone (no file is opened)."""
+    devices = partition_values(spark, root, "device")
+    days = sorted({d for v in devices for d in partition_values(spark, f"{root.rstrip('/')}/device={v}", "day") if d != NULL_FOLDER})
+    if not days:
+        return spark.createDataFrame([], "day date")
+    return calendar(spark, days[0], days[-1])
+
+
 def day_labels(days: DataFrame) -> DataFrame:
     """FN8: day and its ``yyyy-MM-dd-Ddd`` label."""
     return days.select("day", day_label("day").alias("label"))
@@ -47,22 +58,37 @@ def _devices() -> Column:
     return F.explode(F.array(*[F.lit(d) for d in DEVICES])).alias("device")
 
 
-def device_day_grid(days: DataFrame) -> DataFrame:
-    return days.select(_devices(), "day")
-
-
 def device_hour_grid(spark: SparkSession) -> DataFrame:
     return spark.range(24).select(_devices(), hour_label(F.col("id")).alias("hour"))
 
 
-def views_daily(views: DataFrame, days: DataFrame) -> DataFrame:
+def dense_hours(views: DataFrame, start: str | None = None, end: str | None = None) -> DataFrame:
+    """(device, day, hours): 24 counts of series views for every device and every day
+    from ``start`` to ``end``, by default from the first to the last view (of any
+    application), in one scan of the views.
+
+    The views are counted per device and day; one more aggregation keeps the span of
+    days and the counts as a map, one row bounded by the calendar, from which the
+    grid is generated.  So neither the calendar nor the zero days need another scan
+    or a join."""
+    series, hour = F.lower("AppName") == SERIES_APP, F.hour("playing_session")
+    per_day = views.groupBy("device", "day").agg(F.array(*[F.count_if(series & (hour == i)) for i in HOURS]).alias("hours"))
+    known = F.col("day").isNotNull() & F.col("device").isin(*DEVICES)
+    lo, hi = (F.lit(x).cast("date") if x else f("day") for x, f in ((start, F.min), (end, F.max)))
+    entry = F.struct(F.struct("device", "day").alias("key"), F.col("hours").alias("value"))
+    whole = per_day.agg(lo.alias("lo"), hi.alias("hi"), F.map_from_entries(F.collect_list(F.when(known, entry))).alias("counts"))
+    grid = whole.select(_devices(), "lo", "hi", "counts").select("device", F.explode(F.sequence("lo", "hi")).alias("day"), "counts")
+    return grid.select(
+        "device", "day", F.coalesce(F.try_element_at("counts", F.struct("device", "day")), F.array_repeat(F.lit(0).cast("bigint"), len(HOURS))).alias("hours"))
+
+
+def _added(hours: Column) -> Column:
+    return F.reduce(hours, F.lit(0).cast("bigint"), lambda a, x: a + x)
+
+
+def views_daily(dense: DataFrame) -> DataFrame:
     """AG17: views per device per day, zero for days without views."""
-    counts = series_views(views).groupBy("device", "day").agg(F.count(F.lit(1)).alias("views"))
-    return (
-        device_day_grid(days)
-        .join(counts, ["device", "day"], "left")
-        .select("device", "day", F.coalesce("views", F.lit(0)).alias("views"))
-    )
+    return dense.select("device", "day", _added(F.col("hours")).alias("views"))
 
 
 def views_total(daily: DataFrame) -> DataFrame:
@@ -70,17 +96,9 @@ def views_total(daily: DataFrame) -> DataFrame:
     return daily.groupBy("device").agg(F.sum("views").alias("views"))
 
 
-def views_day_hour(views: DataFrame, days: DataFrame) -> DataFrame:
-    """AG19: device × day rows with 24 zero-filled hour columns ``h00``..``h23``
-    (a fixed-value pivot as one conditional aggregation)."""
-    h = F.hour("playing_session")
-    counts = (
-        series_views(views)
-        .groupBy("device", "day")
-        .agg(*[F.count_if(h == i).alias(f"h{i:02d}") for i in HOURS])
-    )
-    cols = [F.coalesce(f"h{i:02d}", F.lit(0)).alias(f"h{i:02d}") for i in HOURS]
-    return device_day_grid(days).join(counts, ["device", "day"], "left").select("device", "day", *cols)
+def views_day_hour(dense: DataFrame) -> DataFrame:
+    """AG19: device × day rows with 24 zero-filled hour columns ``h00``..``h23``."""
+    return dense.select("device", "day", *[F.col("hours")[i].alias(f"h{i:02d}") for i in HOURS])
 
 
 def views_hour_total(views: DataFrame) -> DataFrame:
@@ -96,6 +114,22 @@ def views_hour_total(views: DataFrame) -> DataFrame:
     )
 
 
+# Levels of the cube: name and the columns that it groups by.
+CUBE = {"total": ["device"], "day": ["device", "day"], "hour": ["device", "hour"], "day_hour": ["device", "day", "hour"]}
+
+
+def views_cube(views: DataFrame) -> DataFrame:
+    """AG17-AG20 in one pass: level, device, day, hour, views of the series views, one
+    row per group of each level (no zero rows).  The views are counted once at the
+    finest level; GROUPING SETS then runs over those few counts, so that its row
+    expansion does not multiply the log."""
+    finest = series_views(views).groupBy("device", "day", hour_label(F.hour("playing_session")).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    cube = finest.groupingSets(list(CUBE.values()), "device", "day", "hour").agg(
+        F.grouping("day").alias("no_day"), F.grouping("hour").alias("no_hour"), F.sum("n").alias("views"))
+    level = F.when((F.col("no_day") == 1) & (F.col("no_hour") == 1), "total").when(F.col("no_hour") == 1, "day").when(F.col("no_day") == 1, "hour")
+    return cube.select(level.otherwise("day_hour").alias("level"), "device", "day", "hour", "views")
+
+
 def views_daily_formatted(daily: DataFrame) -> DataFrame:
     """FN10 applied to the daily counts: ``'<n/1000>K'``."""
     return daily.select("device", "day", "views", fmt_unit("views", "K").alias("views_k"))

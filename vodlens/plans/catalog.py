@@ -59,6 +59,10 @@ class Inputs:
     def days(self) -> DataFrame:
         return vw.calendar_of(self.views)
 
+    @property
+    def dense(self) -> DataFrame:
+        return vw.dense_hours(self.views)
+
     def top_titles(self) -> DataFrame:
         top = vw.top_items_daily(vw.item_views(self.views))
         return vw.with_titles(top, self.titles)
@@ -115,6 +119,14 @@ def _calendar_days(i: Inputs) -> DataFrame:
     return i.days
 
 
+@register("calendar_folders")
+def _calendar_folders(i: Inputs) -> DataFrame:
+    """SRC9 + SRC10: days of the landed ORC folders, from their names."""
+    root = scratch_path(i.spark, "views")
+    view_src.write_views(i.views, root)
+    return vw.calendar_of_folders(i.spark, root)
+
+
 @register("day_labels")
 def _day_labels(i: Inputs) -> DataFrame:
     return vw.day_labels(i.days)
@@ -308,17 +320,17 @@ for _name in ("vod_by_folder", "vod_by_main_menu", "vod_by_menu", "unique_pagevi
 
 @register("views_daily")
 def _views_daily(i: Inputs) -> DataFrame:
-    return vw.views_daily(i.views, i.days)
+    return vw.views_daily(i.dense)
 
 
 @register("views_total")
 def _views_total(i: Inputs) -> DataFrame:
-    return vw.views_total(vw.views_daily(i.views, i.days))
+    return vw.views_total(vw.views_daily(i.dense))
 
 
 @register("views_day_hour")
 def _views_day_hour(i: Inputs) -> DataFrame:
-    return vw.views_day_hour(i.views, i.days)
+    return vw.views_day_hour(i.dense)
 
 
 @register("views_hour_total")
@@ -326,9 +338,14 @@ def _views_hour_total(i: Inputs) -> DataFrame:
     return vw.views_hour_total(i.views)
 
 
+@register("views_cube")
+def _views_cube(i: Inputs) -> DataFrame:
+    return vw.views_cube(i.views)
+
+
 @register("fmt_thousands")
 def _fmt_thousands(i: Inputs) -> DataFrame:
-    return vw.views_daily_formatted(vw.views_daily(i.views, i.days))
+    return vw.views_daily_formatted(vw.views_daily(i.dense))
 
 
 @register("item_views")

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"  # what Spark's writers name a NULL
+
 
 def partition_values(spark: SparkSession, root: str | None, column: str) -> set[str]:
     """Values ``v`` of the ``column=v`` folders directly under ``root`` (one
