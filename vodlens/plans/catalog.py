@@ -10,9 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import exprs as fx
-from ..operators import clean, customer, folder, menu, movie, pageview, recsys, submenu, topic_lane
+from ..operators import clean, customer, folder, menu, movie, pageview, quarantine, recsys, submenu, topic_lane
 from ..operators import views as vw
 from ..operators.joins import with_customers
 from ..session import scratch_path
@@ -153,6 +154,36 @@ def _clean_logs_archive(i: Inputs) -> DataFrame:
     return clean.clean_archive(fixtures.raw_archive_logs(i.spark, i.sf_dir))
 
 
+@register("clean_logs_archive_json")
+def _clean_logs_archive_json(i: Inputs) -> DataFrame:
+    """SRC1 + CLN1: land the raw archive records as JSON by day, read them back, clean."""
+    path = scratch_path(i.spark, "archive")
+    log_src.write_raw(fixtures.raw_archive_logs(i.spark, i.sf_dir), path)
+    return clean.clean_archive(log_src.read_raw(i.spark, path, "archive"))
+
+
+@register("log_rejects")
+def _log_rejects(i: Inputs) -> DataFrame:
+    """CLN1 + CLN2 with reasons: raw records of both shapes by source and outcome, and
+    how many of them the cleaning rule keeps."""
+    out = None
+    for kind, raw, rule in (("kafka", fixtures.raw_kafka_logs(i.spark, i.sf_dir), clean.kafka_rule()),
+                            ("archive", fixtures.raw_archive_logs(i.spark, i.sf_dir), clean.archive_rule())):
+        counts = quarantine.checked(raw.withColumn("kept", rule), kind).groupBy(F.lit(kind).alias("source"), "reason").agg(
+            F.count(F.lit(1)).alias("n"), F.count_if("kept").alias("kept"))
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+@register("landed_logs")
+def _landed_logs(i: Inputs) -> DataFrame:
+    """SRC2 + CLN2: raw JSON checked and landed in one pass; the clean rows read back."""
+    raw_path, path = scratch_path(i.spark, "kafka"), scratch_path(i.spark, "checked")
+    log_src.write_raw(fixtures.raw_kafka_logs(i.spark, i.sf_dir), raw_path)
+    log_src.land_checked(log_src.read_raw(i.spark, raw_path, "kafka", corrupt=True), "kafka", path, "2024-02-01")
+    return log_src.read_landed(i.spark, path)
+
+
 @register("join_customers")
 def _join_customers(i: Inputs) -> DataFrame:
     return with_customers(i.logs, i.cus)

@@ -222,7 +222,7 @@ def date_range(start: str, end: str | None) -> list[str]:
 def main(argv: list[str] | None = None) -> None:
     from ..session import get_spark
     from ..sources import dims as dim_src
-    from ..sources.logs import read_logs
+    from ..sources.logs import land_checked, read_landed, read_logs, read_raw, source_of
 
     p = argparse.ArgumentParser(prog="vodlens.plans.daily")
     p.add_argument("jobs", help="source letter then job numbers, e.g. k,2,10")
@@ -236,6 +236,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--listfolder", required=True, help="Parquet with MovieID, Folder")
     p.add_argument("--menus", required=True, help="Parquet with MenuID, FolderID")
     p.add_argument("--out", required=True)
+    p.add_argument("--land", help="folder to land each day's checked logs in, clean rows and rejects; the reports read the clean rows")
     p.add_argument("--states", help="folder of report states, to add dump days up exactly")
     p.add_argument("--materialize", default="persist", choices=["persist", "checkpoint", "bucketed", "none"])
     a = p.parse_args(argv)
@@ -247,6 +248,13 @@ def main(argv: list[str] | None = None) -> None:
         if len(days) > 1:
             raise ValueError("given files are one dump: give one day")
         logs = {days[0]: read_logs(spark, None, None, source=source, files=a.files, fmt=a.fmt)}
+    elif a.land:
+        found = {d: source_of(spark, a.kafka, a.archive, d, source) for d in days}  # names a missing day before any is run
+        logs = {}
+        for d, (kind, path) in found.items():
+            n = land_checked(read_raw(spark, path, kind, a.fmt, [d], corrupt=True), kind, a.land, d)
+            print(f"{d} {kind}: " + ", ".join(f"{k} {v}" for k, v in n.items()))
+            logs[d] = read_landed(spark, a.land, [d])
     else:
         read_logs(spark, a.kafka, a.archive, days, source, fmt=a.fmt)  # names every missing day before any is run
         logs = {d: read_logs(spark, a.kafka, a.archive, [d], source, fmt=a.fmt) for d in days}

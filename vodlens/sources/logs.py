@@ -11,12 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import clean_archive, clean_kafka
-from ..schema import RAW_ARCHIVE, RAW_KAFKA
+from ..operators.quarantine import ACCEPTED, CORRUPT, REASONS, landing_rows
+from ..schema import LOGS, RAW_ARCHIVE, RAW_KAFKA
 from .listing import partition_values
 
 # Microsecond event times survive a JSON round trip with this format.  It is for
@@ -36,15 +37,19 @@ def read_raw(
     kind: str = "kafka",
     fmt: str = "json",
     dates: Iterable | None = None,
+    corrupt: bool = False,
 ) -> DataFrame:
     """Read raw logs of one source; ``kind`` is ``kafka`` (struct fields) or
-    ``archive`` (map fields).  ``dates`` prunes ``dt=`` partitions."""
+    ``archive`` (map fields).  ``dates`` prunes ``dt=`` partitions; ``corrupt`` keeps
+    the text of JSON records that do not parse in a column of their own."""
     schema = RAW_KAFKA if kind == "kafka" else RAW_ARCHIVE
+    if corrupt and fmt == "json":
+        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     if _partitioned(path):
         schema = T.StructType(schema.fields + [T.StructField(PARTITION, T.StringType())])
     r = spark.read.format(fmt).schema(schema)
     if fmt == "json":
-        r = r.option("mode", "PERMISSIVE")
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     ds = _dates(dates)
     if ds is not None and _partitioned(path):
         # Hand the reader only the requested day folders: a root path would
@@ -84,6 +89,50 @@ def write_raw(df: DataFrame, path: str, fmt: str = "json") -> None:
     w.format(fmt).save(path)
 
 
+def source_of(spark: SparkSession, kafka_path: str | None, archive_path: str | None, day: str, source: str = "k") -> tuple[str, str]:
+    """(kind, path) that a dump day is read from: the preferred source if it has the
+    day's folder, else the other (SRC4)."""
+    order = [("kafka", kafka_path), ("archive", archive_path)]
+    for kind, root in order if source.lower() == "k" else order[::-1]:
+        if root and day in day_folders(spark, root):
+            return kind, root
+    raise FileNotFoundError(f"no log folder for {day} under {kafka_path} or {archive_path}")
+
+
+def land_checked(raw: DataFrame, kind: str, path: str, day: str) -> dict[str, int]:
+    """Check one dump day's raw logs and land all of them in one pass:
+    ``path/dt=<day>/reason=accepted`` holds the flat clean rows, ``reason=<check>`` the
+    rejected records as text.  A repeated day replaces itself.  Returns the records
+    written by reason, observed during the write."""
+    seen = Observation("land_checked")
+    counts = [F.count_if(F.col("reason") == r).alias(r) for r in [ACCEPTED, *REASONS]]
+    rows = landing_rows(raw, kind).observe(seen, F.count(F.lit(1)).alias("read"), *counts)
+    out = rows.withColumn(PARTITION, F.lit(day)).hint("rebalance", "reason")
+    _drop_folder(raw.sparkSession, f"{path.rstrip('/')}/{PARTITION}={day}")  # a reason may have no rows this time
+    out.write.mode("append").partitionBy(PARTITION, "reason").parquet(path)
+    return {k: int(v) for k, v in seen.get.items()}
+
+
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    sc = spark.sparkContext
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def read_landed(spark: SparkSession, path: str, dates: Iterable | None = None, reason: str | None = ACCEPTED) -> DataFrame:
+    """Rows of ``land_checked``: the clean logs, the rejected records of one reason
+    (dt, raw), or with None every rejected record (dt, reason, raw)."""
+    schema = T.StructType([*LOGS.fields, T.StructField("raw", T.StringType()), T.StructField(PARTITION, T.StringType()), T.StructField("reason", T.StringType())])
+    df = spark.read.schema(schema).parquet(path)
+    if dates is not None:
+        df = df.where(F.col(PARTITION).isin(*_dates(dates)))
+    if reason == ACCEPTED:
+        return df.where(F.col("reason") == ACCEPTED).select(*LOGS.names)
+    if reason is None:
+        return df.where(F.col("reason") != ACCEPTED).select(PARTITION, "reason", "raw")
+    return df.where(F.col("reason") == reason).select(PARTITION, "raw")
+
+
 def read_logs(
     spark: SparkSession,
     kafka_path: str | None,
