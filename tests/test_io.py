@@ -117,6 +117,31 @@ def test_voucher_feed_and_payload(spark, tmp_dir):
     assert len(pay) == 1 and pay[0]["n"] == 2 and pay[0]["payload"].index('ID="1"') < pay[0]["payload"].index('ID="2"')
 
 
+def test_feed_keeps_ids_and_discounts_of_any_type(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/feed")
+    doc = {"data": [{"id": "A12", "discount": "15", "name": 7}, {"id": 12, "discount": 15.9, "name": None}, {"id": 3000000000, "discount": "many"}, "odd", None]}
+    with open(f"{tmp_dir}/feed/pages.json", "w") as f:
+        f.write(json.dumps(doc) + "\n{broken\n" + json.dumps({"data": []}) + "\n" + json.dumps({"other": 1}) + "\n" + json.dumps({"data": {"id": 1}}) + "\n")
+    got = {r["id"]: r for r in vouchers.voucher_rows(vouchers.read_feed(spark, f"{tmp_dir}/feed")).collect()}
+    assert {k: (r["discount"], r["name"]) for k, r in got.items()} == {"A12": (15, "7"), "12": (15, None), "3000000000": (None, None)}
+    assert 'ID="A12"' in got["A12"]["xml"] and 'discount=""' in got["3000000000"]["xml"]
+    with open(f"{tmp_dir}/whole.json", "w") as f:  # one document over many lines
+        json.dump(doc, f, indent=2)
+    assert vouchers.read_feed(spark, f"{tmp_dir}/whole.json", multiline=True).count() == 3
+
+
+@pytest.mark.parametrize("kind", ["bigint", "double", "decimal(12,3)"])
+def test_views_keep_the_type_of_their_files(spark, tmp_dir, kind):
+    from vodlens.operators.views import item_views
+
+    views = fixtures.views(spark, SF).withColumn("duration", F.col("duration").cast(kind))
+    view_src.write_views(views, f"{tmp_dir}/v")
+    got = view_src.read_views(spark, f"{tmp_dir}/v")
+    assert dict(got.dtypes)["duration"] == kind and got.count() == views.count()
+    box = view_src.read_views(spark, f"{tmp_dir}/v", devices=["box"])
+    assert item_views(box).exceptAll(item_views(views.where("device = 'box'"))).count() == 0
+
+
 def test_jdbc_append_twice_and_read_back(spark):
     url = f"jdbc:derby:memory:vl{uuid.uuid4().hex[:8]};create=true"
     df = spark.createDataFrame([(1, "a"), (2, "b")], "ID int, NAME string")

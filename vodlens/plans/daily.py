@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..operators import customer, folder, menu, movie, pageview, recsys, submenu, topic_lane
 from ..operators.joins import SNAPSHOT_COL
+from ..sinks.night import Database, Night
 from ..sources import bucketed
 
 
@@ -172,11 +174,16 @@ def run_days(
     out: str,
     how: str = "persist",
     states_root: str | None = None,
+    db: Database | None = None,
+    again: bool = False,
 ) -> None:
     """Run the jobs over the logs of each dump day and write every report as Parquet
     under ``out/<report>/dt=<day>``; other days' results are not touched.  With
     ``states_root`` the reports that count distinct ids also land their state there,
-    for ``states.combined`` to add up over dump days."""
+    for ``states.combined`` to add up over dump days.  With ``db`` a day's reports also
+    go into its tables, all in one transaction after the last job; a day with a failed
+    job leaves the database as it was, and reports that the manifest already holds for
+    a day are left alone (``again``: replaced)."""
     from ..sinks.files import write_table
     from .states import land_day
 
@@ -185,11 +192,16 @@ def run_days(
     for day, logs in logs_by_day.items():
         day_dims = Dims(cus[day], dims.listfolder, dims.fol)
 
+        night: Night | None = None
+
         def sink(name: str, df: DataFrame, day: str = day) -> None:
             write_table(df, f"{out}/{name}/dt={day}")
+            if night:
+                night.stage(name, df.sparkSession.read.parquet(f"{out}/{name}/dt={day}"))
 
         landed = None
         try:
+            night = Night(logs.sparkSession, db, day, again) if db else None
             if how == "bucketed":
                 landed = bucketed.land(logs, day_dims.cus)
                 base, day_dims = landed.logs, Dims(landed.cus, dims.listfolder, dims.fol)
@@ -199,7 +211,11 @@ def run_days(
                 run_reports(base, day_dims, jobs, sink, "none")
                 if states_root:
                     land_day(base, day_dims, day, states_root, mergeable_reports(jobs))
+                if night:
+                    night.commit()
             finally:
+                if night:
+                    night.discard()
                 if how == "persist":
                     base.unpersist()
                 if landed:
@@ -232,9 +248,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--archive")
     p.add_argument("--files", nargs="+", help="Kafka-dump files of source f")
     p.add_argument("--fmt", default="json", help="format of the landed logs: json, parquet or orc")
-    p.add_argument("--customers", required=True, help="Parquet with ID, Area, UType[, SnapshotDate]")
-    p.add_argument("--listfolder", required=True, help="Parquet with MovieID, Folder")
-    p.add_argument("--menus", required=True, help="Parquet with MenuID, FolderID")
+    p.add_argument("--customers", required=True, help="Parquet or table:NAME with ID, Area, UType[, SnapshotDate]")
+    p.add_argument("--listfolder", required=True, help="Parquet or table:NAME with MovieID, Folder")
+    p.add_argument("--menus", required=True, help="Parquet or table:NAME with MenuID, FolderID")
+    p.add_argument("--jdbc", help="database of table:NAME dimensions, and with --to-db of the reports")
+    p.add_argument("--jdbc-driver", help="driver class; user and password are read from VODLENS_DB_USER and VODLENS_DB_PASSWORD")
+    p.add_argument("--to-db", action="store_true", help="also write each day's reports to the database, in one transaction")
+    p.add_argument("--again", action="store_true", help="replace days that the database already holds")
     p.add_argument("--out", required=True)
     p.add_argument("--land", help="folder to land each day's checked logs in, clean rows and rejects; the reports read the clean rows")
     p.add_argument("--states", help="folder of report states, to add dump days up exactly")
@@ -258,13 +278,21 @@ def main(argv: list[str] | None = None) -> None:
     else:
         read_logs(spark, a.kafka, a.archive, days, source, fmt=a.fmt)  # names every missing day before any is run
         logs = {d: read_logs(spark, a.kafka, a.archive, [d], source, fmt=a.fmt) for d in days}
-    dims = Dims(
-        cus=spark.read.parquet(a.customers),
-        listfolder=spark.read.parquet(a.listfolder),
-        fol=dim_src.menu_folders(spark.read.parquet(a.menus)),
-    )
+    secrets = {"driver": a.jdbc_driver, "user": os.environ.get("VODLENS_DB_USER"), "password": os.environ.get("VODLENS_DB_PASSWORD")}
+    db = Database(a.jdbc, {k: v for k, v in secrets.items() if v}) if a.jdbc else None
+
+    def dim(spec: str) -> DataFrame:
+        if not spec.startswith("table:"):
+            return spark.read.parquet(spec)
+        if db is None:
+            raise ValueError(f"{spec} needs --jdbc")
+        return db.table(spark, spec.removeprefix("table:"))
+
+    dims = Dims(cus=dim(a.customers), listfolder=dim(a.listfolder), fol=dim_src.menu_folders(dim(a.menus)))
+    if a.to_db and db is None:
+        raise ValueError("--to-db needs --jdbc")
 
-    run_days(logs, dims, jobs, a.out, a.materialize, a.states)
+    run_days(logs, dims, jobs, a.out, a.materialize, a.states, db if a.to_db else None, a.again)
 
 
 if __name__ == "__main__":

@@ -34,9 +34,10 @@ def read_views(
     start: str | None = None,
     end: str | None = None,
 ) -> DataFrame:
-    r = spark.read.schema(VIEWS)
+    """The views of a device=/day= tree, their columns in the type of the files (a
+    duration may be a decimal, a bigint or a double); one footer tells the types."""
     if devices is None and start is None and end is None:
-        df = r.orc(root)
+        df = spark.read.orc(root)
     else:
         # Only the wanted device=/day= folders reach the file index.
         base = root.rstrip("/")
@@ -51,7 +52,8 @@ def read_views(
         ]
         if not paths:  # same columns, in the order a partitioned read gives
             return spark.createDataFrame([], VIEWS).select(*[c.name for c in DATA_COLUMNS], "device", "day")
-        df = r.option("basePath", base).orc(paths)
+        df = spark.read.option("basePath", base).orc(paths)
+    df = df.select(*[c.name for c in DATA_COLUMNS], F.col("device").cast("string").alias("device"), F.col("day").cast("date").alias("day"))
     if devices is not None:
         df = df.where(F.col("device").isin(*list(devices)))
     if start is not None:

@@ -1,8 +1,8 @@
 """Promotion feed (SRC11) and its XML rows for the loading procedure (SNK4).
 
 The feed service answers with ``{"data": [promotion, ...]}``; responses are
-landed as JSON lines (one page per line) and read with an explicit schema, so
-many pages load in parallel and no page passes through the driver.
+landed as JSON lines (one page per line) and read as variants, so many pages load
+in parallel, no page passes through the driver and no member's type is forced.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..schema import VOUCHER_FEED
+from ..schema import VOUCHER_FEED, VOUCHER_MEMBERS  # noqa: F401  the written feed's schema
 from ..session import ensure_checkpoint_dir
 
 
@@ -33,10 +33,17 @@ def write_feed(pages: DataFrame, path: str) -> None:
     pages.write.mode("overwrite").json(path)
 
 
-def read_feed(spark: SparkSession, path: str) -> DataFrame:
-    """One row per promotion."""
-    feed = spark.read.schema(VOUCHER_FEED).json(path)
-    return feed.select(F.explode("data").alias("p")).select("p.*")
+def read_feed(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """One row per promotion, every member as text.
+
+    Documents are read as variants, so a member keeps what the feed says whatever its
+    JSON type: an id may be a number or text, a discount a number or a quoted one.
+    Promotions that are no objects, and documents without a ``data`` list or that do
+    not parse, give no rows.  ``multiline``: a file is one document over many lines."""
+    docs = spark.read.option("singleVariantColumn", "doc").option("multiLine", multiline).json(path)
+    items = docs.select(F.explode(F.try_variant_get("doc", "$.data", "array<variant>")).alias("p"))
+    members = [F.try_variant_get("p", f"$.{m}", "string").alias(m) for m in VOUCHER_MEMBERS]
+    return items.where(F.schema_of_variant("p").startswith("OBJECT")).select(*members)
 
 
 def xml_escape(c: Column) -> Column:
