@@ -270,3 +270,23 @@ def test_xml_payloads_bounded_with_a_hot_id(spark, shuffled):
     # the positions themselves: 0..n-1, each once
     pos = vouchers.global_positions(rows, ["id"]).select("_pos").collect()
     assert sorted(r[0] for r in pos) == list(range(n))
+
+
+def test_measured_ranges_read_a_skewed_key_evenly(spark):
+    from vodlens.sources.dims import jdbc_measured
+
+    url = f"jdbc:derby:memory:vl{uuid.uuid4().hex[:8]};create=true"
+    n = 4000
+    key = F.when(F.col("id") % 50 == 0, F.lit(None).cast("bigint")).otherwise(F.floor(F.pow(F.col("id") / 400.0, 9)).cast("bigint"))  # crowded at the low end
+    spark.range(n).select(key.alias("K"), F.col("id").alias("V")).write.format("jdbc").options(url=url, dbtable="T", **DERBY).save()
+    sizes = lambda df: [r["n"] for r in df.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    even = jdbc_measured(spark, url, "T", "K", 8, DERBY)
+    linear = jdbc_table(spark, url, "T", properties=DERBY, partition_column="K", lower_bound=0, upper_bound=10**9, num_partitions=8)
+    assert sorted(r["V"] for r in even.collect()) == list(range(n)) and sum(sizes(linear)) == n
+    hot = even.where("K = 0").count()  # one value cannot be cut
+    rest = sorted(sizes(even))
+    assert len(rest) >= 6 and max(x for x in rest if x < hot or hot < n / 8) <= 2 * n / 8 < max(sizes(linear))
+    spark.range(1).select(F.lit(5).alias("K")).write.format("jdbc").options(url=url, dbtable="ONE", **DERBY).save()
+    assert jdbc_measured(spark, url, "ONE", "K", 8, DERBY).count() == 1
+    spark.range(0).select(F.col("id").alias("K")).write.format("jdbc").options(url=url, dbtable="EMPTY_T", **DERBY).save()
+    assert jdbc_measured(spark, url, "EMPTY_T", "K", 8, DERBY).count() == 0

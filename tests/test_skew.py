@@ -144,3 +144,29 @@ def test_hot_customer_row_join_is_split_by_aqe_when_customers_are_not_broadcast(
     assert "isFinalPlan=true" in plan and "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
     assert "skew=true" in plan
     assert same
+
+
+def test_rows_without_a_movie_key_are_spread_in_one_plan(spark, skewed):
+    """A third of the rows have an id that is no number."""
+    _, i = skewed
+    logs = i.logs.where(F.col("LogId") == "52")
+    bad = F.when(F.pmod(F.hash("ts", "CustomerID"), F.lit(3)) == 0, F.lit("undefined")).otherwise(F.col("ItemId"))
+    logs = logs.select("Date", "CustomerID", "ts", bad.alias("ItemId")).checkpoint()
+    lookup = i.listfolder.checkpoint()
+    small = joins.with_folders(logs, lookup)
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set(joins.CONF_KEY, "10")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        large = joins.with_folders(logs, lookup)
+        plan = large._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and "Union" not in plan and "_spread" in plan[plan.index("SortMergeJoin"):].split("\n")[0]
+        per = large.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("ItemId") == "undefined").alias("n")).collect()
+        nulls = sum(r["n"] for r in per)
+        assert nulls > 0.25 * logs.count() and max(r["n"] for r in per) < 0.2 * nulls
+        assert large.exceptAll(small).count() == 0 and small.exceptAll(large).count() == 0
+    finally:
+        spark.conf.unset(joins.CONF_KEY)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -145,12 +145,27 @@ def by_customer(
     return with_customers(pre, cus)
 
 
+# Groups that rows without a key are spread over in a shuffle.
+NULL_SPREAD = 1024
+
+
 def with_folders(df: DataFrame, listfolder: DataFrame, item_col: str = "ItemId") -> DataFrame:
     """LEFT join of the movie → folder lookup (JN2): a missing folder stays NULL,
-    a movie in several folders yields one row per folder."""
+    a movie in several folders yields one row per folder.
+
+    Ids that are no number have no key and never match, but a shuffle would send all of
+    them to one task.  So the key of a large lookup's join has a second part: 0 where
+    there is a movie key, else a number from 1 on by the row's values, which no lookup
+    row has.  A hot movie is left to AQE's skew split."""
     lf = listfolder.select("MovieID", "Folder")
     f = df.withColumn("_ik", key(item_col))
-    return join_dim(f, lf, F.col("_ik") == F.col("MovieID"), "left").drop("_ik", "MovieID")
+    if fits_broadcast(lf):
+        return f.join(F.broadcast(lf), F.col("_ik") == F.col("MovieID"), "left").drop("_ik", "MovieID")
+    spread = F.when(F.col("_ik").isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SPREAD)) + 1).otherwise(F.lit(0))
+    # 0 on every row, but no literal: the optimizer would take a literal out of the join's keys
+    held = lf.withColumn("_held", F.pmod("MovieID", F.lit(1).cast("bigint")))
+    on = (F.col("_ik") == F.col("MovieID")) & (F.col("_spread") == F.col("_held"))
+    return f.withColumn("_spread", spread.cast("bigint")).join(held, on, "left").drop("_ik", "MovieID", "_spread", "_held")
 
 
 def with_menus(df: DataFrame, fol: DataFrame, folder_col: str = "Folder") -> DataFrame:
