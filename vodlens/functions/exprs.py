@@ -59,6 +59,17 @@ def capped(real: ColumnOrName = "RealTimePlaying", dur: ColumnOrName = "Duration
     return F.when(r >= d, d).otherwise(r)
 
 
+def exact(c: ColumnOrName, digits: int = 6) -> Column:
+    """A number as a decimal, so that sums are the same in any order of the rows;
+    NULL when it is infinite, NaN or out of range."""
+    return _c(c).try_cast(f"decimal(28,{digits})")
+
+
+def time_total(c: ColumnOrName) -> Column:
+    """The sum of exact times, rounded to 2 decimals."""
+    return F.round(F.sum(_c(c)), 2).cast("double")
+
+
 def playing_time(real: ColumnOrName, elapsed: ColumnOrName, dur: ColumnOrName) -> Column:
     """Playing time (FN1): the player position when non-zero; else 0 when nothing
     was watched; else watched time capped at the content length.  Any input that

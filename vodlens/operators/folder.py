@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import capped, level, log_is
+from ..functions.exprs import capped, exact, level, log_is, time_total
 from .joins import by_customer, carried, with_folders
 
 def one():
@@ -26,7 +26,7 @@ def _finished_views(logs: DataFrame, *cols) -> DataFrame:
 def folder_facts(logs: DataFrame, cus: DataFrame, listfolder: DataFrame, by_level: bool = False) -> DataFrame:
     """Rows of AG1 (AG2 with ``by_level``) before grouping: keys, CustomerID and the
     additive measures ``n`` and ``dur``."""
-    cols = [capped().alias("dur")]
+    cols = [exact(capped()).alias("dur")]
     if by_level:
         cols.append(level("RealTimePlaying", "ElapsedTimePlaying", "Duration").alias("Level"))
     v = with_folders(_finished_views(logs, *cols), listfolder)
@@ -38,7 +38,7 @@ def _views_by(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(
         F.sum("n").alias("TotalViews"),
         F.count_distinct("CustomerID").alias("TotalCustomers"),
-        F.round(F.sum("dur"), 2).alias("TotalDuration"),
+        time_total("dur").alias("TotalDuration"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import capped, log_is, main_menu_folder
+from ..functions.exprs import capped, exact, log_is, main_menu_folder, time_total
 from .distincts import flagged_counts
 from .joins import by_customer, with_folders, with_menus
 
@@ -16,7 +16,7 @@ def main_menu_facts(logs: DataFrame, cus: DataFrame) -> DataFrame:
         logs.where(log_is("52")).withColumn("Folder", main_menu_folder()),
         cus,
         ["Date", "CustomerID", "Folder", "Session"],
-        {"n": F.lit(1).cast("bigint"), "dur": capped()},
+        {"n": F.lit(1).cast("bigint"), "dur": exact(capped())},
     )
 
 
@@ -28,7 +28,7 @@ def vod_by_main_menu(logs: DataFrame, cus: DataFrame) -> DataFrame:
         ["Date", "Area", "Folder"],
         {"TotalCustomers": "CustomerID", "TotalSession": "Session"},
         ["n", "dur"],
-        [F.sum("n").alias("TotalViews"), F.round(F.sum("dur"), 2).alias("TotalDuration")],
+        [F.sum("n").alias("TotalViews"), time_total("dur").alias("TotalDuration")],
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import capped, log_is
+from ..functions.exprs import capped, exact, log_is, time_total
 from .joins import by_customer
 
 def one():
@@ -16,7 +16,7 @@ def one():
 def view_facts(logs: DataFrame, cus: DataFrame, *keys: str, measured: bool = False) -> DataFrame:
     """Rows of AG3-AG5 before grouping: finished views with customer and ``keys``,
     with ``measured`` also the additive measures ``n`` and ``dur``."""
-    measures = {"n": one(), "dur": capped()} if measured else None
+    measures = {"n": one(), "dur": exact(capped())} if measured else None
     return by_customer(logs.where(log_is("52")), cus, ["Date", "CustomerID", *keys], measures)
 
 
@@ -26,7 +26,7 @@ def vod_by_movie_chapter(logs: DataFrame, cus: DataFrame) -> DataFrame:
     return rows.groupBy("Date", "UType", "ItemId", "ChapterID").agg(
         F.sum("n").alias("TotalViews"),
         F.count_distinct("CustomerID").alias("TotalCustomers"),
-        F.round(F.sum("dur"), 2).alias("TotalDuration"),
+        time_total("dur").alias("TotalDuration"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import capped, log_is, submenu
+from ..functions.exprs import capped, exact, log_is, submenu, time_total
 from .distincts import flagged_counts
 from .joins import by_customer
 
@@ -30,7 +30,7 @@ def pageview_facts(logs: DataFrame, cus: DataFrame) -> DataFrame:
         {
             "pv": F.when(log_is("512"), 1).otherwise(0).cast("bigint"),
             "views": F.when(is_view, 1).otherwise(0).cast("bigint"),
-            "dur": F.when(is_view, capped()).otherwise(F.lit(0.0)),
+            "dur": F.when(is_view, exact(capped())).otherwise(exact(F.lit(0))),
         },
     )
     seen = F.col("views") > 0
@@ -46,7 +46,7 @@ def unique_pageview(logs: DataFrame, cus: DataFrame) -> DataFrame:
         ["Date", "Area", "UType", "SubMenuId", "ItemId"],
         {"TotalCustomers": "Viewer", "UniquePV": "Visit"},
         ["pv", "views", "dur"],
-        [F.sum("pv").alias("PV"), F.sum("views").alias("TotalViews"), F.round(F.sum("dur"), 2).alias("TotalDuration")],
+        [F.sum("pv").alias("PV"), F.sum("views").alias("TotalViews"), time_total("dur").alias("TotalDuration")],
     )
 
 

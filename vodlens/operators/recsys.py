@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import app_from_id, capped, is_number, level, log_is, num, playing_time, position, submenu
+from ..functions.exprs import app_from_id, capped, exact, is_number, level, log_is, num, playing_time, position, submenu
 from .joins import by_customer, carried
 
-# Half-way values round the same way in every engine after this nudge.
-ROUND_NUDGE = 1e-9
+# Completion percentages are averaged as decimals of this many places.
+PERCENT_DIGITS = 10
 
 
 def recsys_impressions(logs: DataFrame, cus: DataFrame) -> DataFrame:
@@ -68,6 +68,8 @@ def recsys_conversion(logs: DataFrame, cus: DataFrame) -> DataFrame:
     average completion percent.  Per shelf: MPLY, APLY = views − MPLY,
     AVT = round(Σ playing time / Σ views), APR = round(mean of per-movie
     averages, 2), level counts; shelves without views (AVT NULL) are dropped.
+    Times and percentages are added as decimals, so no rounding depends on the
+    order of the rows.
     """
     is51, is52 = log_is("51"), log_is("52")
     elapsed = F.when(num("ElapsedTimePlaying") > 0, num("ElapsedTimePlaying")).otherwise(capped())
@@ -91,8 +93,8 @@ def recsys_conversion(logs: DataFrame, cus: DataFrame) -> DataFrame:
         F.col("ItemId").alias("MovieID"),
         "ChapterID",
         F.when(is51, 1).otherwise(0).alias("mply"),
-        pt.alias("pt"),
-        F.when(is52, F.try_divide(pt, d) * 100).otherwise(zero).alias("apr"),
+        exact(pt).alias("pt"),
+        exact(F.when(is52, F.try_divide(pt, d) * 100).otherwise(zero), PERCENT_DIGITS).alias("apr"),
         F.when(is52 & (lv <= 1), 1).otherwise(0).alias("q1"),
         F.when(is52 & (lv == 2), 1).otherwise(0).alias("mpt"),
         F.when(is52 & (lv == 3), 1).otherwise(0).alias("q3"),
@@ -114,7 +116,7 @@ def recsys_conversion(logs: DataFrame, cus: DataFrame) -> DataFrame:
         .agg(
             F.sum("mply").alias("mply"),
             F.sum("pt").alias("pt"),
-            F.try_divide(F.sum("apr_sum"), F.sum("apr_n")).alias("apr"),
+            exact(F.try_divide(F.sum("apr_sum"), F.sum("apr_n")), PERCENT_DIGITS).alias("apr"),
             *[F.sum(c).alias(c) for c in counts],
         )
         .withColumn("plays", F.col("q1") + F.col("mpt") + F.col("q3") + F.col("cmpl"))
@@ -123,8 +125,8 @@ def recsys_conversion(logs: DataFrame, cus: DataFrame) -> DataFrame:
     shelf = per_movie.groupBy("Date", "Area", "UType", "AppId", "Folder", "isHome").agg(
         F.sum("mply").alias("MPLY"),
         (F.sum("plays") - F.sum("mply")).alias("APLY"),
-        F.round(F.try_divide(F.sum("pt"), F.sum("plays")) + ROUND_NUDGE, 0).alias("AVT"),
-        F.round(F.avg("apr") + ROUND_NUDGE, 2).alias("APR"),
+        F.round(F.try_divide(F.sum("pt").cast("double"), F.sum("plays")), 0).alias("AVT"),
+        F.round(F.avg("apr"), 2).cast("double").alias("APR"),
         F.sum("q1").alias("Q1"),
         F.sum("mpt").alias("MPT"),
         F.sum("q3").alias("Q3"),
