@@ -234,6 +234,35 @@ def test_neighbours_query_blocks(spark, monkeypatch):
     assert len(best & {(r[0], r[2]) for r in found}) >= 0.95 * len(best)
 
 
+def _found(spark, x, k, every):
+    """The share of the exact k nearest that are found; scores must be those of the vectors."""
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbours.nearest(d, F.col("vec_id") % every == 0, k=k).toPandas()
+    asked = np.arange(0, len(x), every)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    best = np.argsort(-scores, axis=1)[:, :k]
+    assert np.allclose(got.score, (x[got.query_id] * x[got.vec_id]).sum(axis=1), rtol=1e-13, atol=0)
+    return sum(len(set(b) & set(got[got.query_id == q].vec_id)) for q, b in zip(asked, best)) / best.size
+
+
+def test_neighbours_recall_without_clusters(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD_ROWS", 2048)
+    x = np.random.default_rng(3).normal(size=(6000, 64))
+    assert _found(spark, x, 20, 50) >= 0.9
+    lengths = np.exp(np.random.default_rng(4).normal(size=(3000, 1)))  # a few long vectors are most answers
+    assert _found(spark, x[:3000] * lengths * 1e39, 20, 50) >= 0.9
+
+
+def test_neighbours_whole_shard_where_the_graph_fails():
+    x = np.random.default_rng(5).normal(size=(1200, 16))
+    cut_off = np.full((1200, 4), -1, dtype=np.int64)  # no edges: nothing but the entry is found
+    assert neighbours._beam(x, cut_off, 0, 20) == 0
+    stored = neighbours._stored([[i] for i in range(1200)], x, 20) | {"beam": 0}
+    got = {(q, i) for q, i, _ in neighbours._answers(stored, [0, 7], x[[0, 7]], 20)}
+    assert got == {(q, int(i)) for q in (0, 7) for i in [i for i in np.argsort(-(x @ x[q])) if i != q][:20]}
+
+
 def test_neighbours_skip_bad_vectors(spark):
     rows = [(0, [1.0, 0.0]), (20, [0.0, 0.0]), (1, [float("nan"), 1.0]), (2, None), (3, [None, 1.0]), (4, [1.0, 0.0]), (5, [1.0, 0.0]), (None, [1.0, 1.0])]
     d = spark.createDataFrame(rows, "vec_id long, embedding array<float>")

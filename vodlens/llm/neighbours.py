@@ -1,15 +1,20 @@
 """Approximate nearest neighbours by inner product on robust-pruned graphs.
 
 Equal vectors are one point (with its smallest ids, as many as an answer can
-hold).  Points are dealt to shards by hash.  In a shard, vectors get one more
-component that makes all lengths equal, so the largest inner product is the least
-distance.  A directed graph is built in batches: a greedy search from the entry
-proposes neighbours, and relaxed pruning keeps a candidate only if no kept one is
-nearer to it by the factor ``ALPHA``; edges back are pruned alike.  A shard's graph
-is built once and kept in the shared checkpoint folder; queries are dealt by hash to
-blocks of about ``QUERY_ROWS``, and each (shard, block) is one group, bounded on both
-sides.  Every query searches each shard with a beam; what the beams hold is scored exactly in double
-precision and the shards' best are merged.
+hold).  Points are dealt to shards by hash.  A shard's directed graph is built over
+the directions of its vectors, in batches: a greedy search from the entry proposes
+neighbours, and relaxed pruning keeps a candidate only if no kept one is nearer to it
+by the factor ``ALPHA``; edges back are pruned alike.  (Over the vectors themselves
+long ones, which most answers are, lie far from all others and get hardly any edges.)
+A query walks the graph by inner product with the vectors.
+
+A graph is measured once it is built: up to ``PROBES`` of its points are asked, their
+answers compared with all inner products, and the beam is doubled until ``RECALL`` of
+the best k are found; a shard that would need a beam of over a quarter of its points
+is searched whole.  Graph and beam are kept in the shared checkpoint folder; queries
+are dealt by hash to blocks of about ``QUERY_ROWS``, and each (shard, block) is one
+group, bounded on both sides.  Every query searches each shard; what the beams hold is
+scored exactly in double precision and the shards' best are merged.
 
 Every valid vector is indexed.  Defined results: vectors that are null, empty,
 zero or hold a null or non-finite component take no part, nor do null ids; only
@@ -28,6 +33,7 @@ from .common import cut
 
 SHARD_ROWS, DEGREE, BEAM, ALPHA, BATCH = 8192, 32, 64, 1.2, 512
 QUERY_ROWS = 8192  # queries that one task searches one shard for
+PROBES, RECALL = 128, 0.95
 
 
 def _search(x, sq, graph, entry, queries, beam):
@@ -106,31 +112,60 @@ def _graph(x, degree=DEGREE, beam=BEAM):
     return graph, entry
 
 
-def _stored(members, vectors):
+def _scaled(x):
+    """Rows scaled to a largest component of 1: the order of inner products with them stays."""
+    return x / np.abs(x).max(axis=1, keepdims=True)
+
+
+def _walked(x):
+    """The vectors as a search reads them: single precision, of one common scale."""
+    return (x / np.abs(x).max()).astype(np.float32)
+
+
+def _beam(x, graph, entry, k):
+    """The beam that finds ``RECALL`` of the k best of sampled points; 0: none up to a
+    quarter of the points does."""
+    n, flat, none = len(x), _walked(x), np.zeros(len(x), dtype=np.float32)
+    asked = _scaled(x[np.random.default_rng(11).permutation(n)[:PROBES]]).astype(np.float32)
+    k = min(k, n)
+    products = asked @ flat.T
+    worst = np.partition(products, n - k, axis=1)[:, n - k]
+    beam = max(BEAM, 2 * k)
+    while beam <= n // 4:
+        found = _search(flat, none, graph, entry, asked, beam)
+        got = np.where(found >= 0, np.take_along_axis(products, np.maximum(found, 0), axis=1), -np.inf)
+        if np.minimum((got >= worst[:, None]).sum(axis=1), k).sum() >= RECALL * k * len(asked):
+            return beam
+        beam *= 2
+    return 0
+
+
+def _stored(members, x, k):
     """The graph of one shard as one row of bytes."""
-    x = vectors.astype(np.float64)
-    norm = (x * x).sum(axis=1)
-    flat = np.concatenate([x, np.sqrt(np.maximum(norm.max() - norm, 0))[:, None]], axis=1).astype(np.float32)
-    graph, entry = _graph(flat)
+    unit = _scaled(x)
+    unit = (unit / np.sqrt((unit * unit).sum(axis=1, keepdims=True))).astype(np.float32)
+    graph, entry = _graph(unit)
     ends = np.cumsum([len(m) for m in members])
     ids = np.concatenate([np.array(m, dtype="<i8") for m in members])
-    return {"flat": flat.astype("<f4").tobytes(), "graph": graph.astype("<i4").tobytes(), "entry": entry,
+    return {"x": x.astype("<f8").tobytes(), "graph": graph.astype("<i4").tobytes(), "entry": entry, "beam": _beam(x, graph, entry, k),
             "ends": ends.astype("<i8").tobytes(), "ids": ids.tobytes()}
 
 
 def _answers(stored, query_ids, queries, k):
     """(query, id, score) of the k best of a stored shard per query."""
     ends, ids = (np.frombuffer(stored[c], dtype="<i8") for c in ("ends", "ids"))
-    flat = np.frombuffer(stored["flat"], dtype="<f4").reshape(len(ends), -1)
+    x = np.frombuffer(stored["x"], dtype="<f8").reshape(len(ends), -1)
     graph = np.frombuffer(stored["graph"], dtype="<i4").reshape(len(ends), -1).astype(np.int64)
     members = [m.tolist() for m in np.split(ids, ends[:-1])]
-    x = flat[:, :-1].astype(np.float64)
-    sq = (flat * flat).sum(axis=1)
+    flat, none, held = _walked(x), np.zeros(len(x), dtype=np.float32), min(len(x), max(BEAM, 2 * k))
     out = []
     for lo in range(0, len(queries), BATCH):
-        q = queries[lo:lo + BATCH].astype(np.float64)
-        own_ends = np.concatenate([q, np.zeros((len(q), 1))], axis=1).astype(np.float32)
-        found = _search(flat, sq, graph, stored["entry"], own_ends, max(BEAM, 2 * k))
+        q = queries[lo:lo + BATCH]
+        asked = _scaled(q).astype(np.float32)
+        if stored["beam"]:
+            found = _search(flat, none, graph, stored["entry"], asked, stored["beam"])
+        else:
+            found = np.argpartition(-(asked @ flat.T), held - 1, axis=1)[:, :held]
         for i, row in enumerate(found):
             row = row[row >= 0]
             score = np.array([float(np.dot(x[r], q[i])) for r in row])
@@ -143,7 +178,7 @@ def _answers(stored, query_ids, queries, k):
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding",
             query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each query row."""
-    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<float>").alias("v"), is_query.alias("is_query"))
+    v = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), is_query.alias("is_query"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     v = v.where(F.col("id").isNotNull() & F.col("v").isNotNull() & finite & F.exists("v", lambda x: x != 0)).dropDuplicates(["id", "v"])
     v = cut(v.withColumns({"dim": F.size("v"), "h": F.xxhash64("v")}))
@@ -162,16 +197,16 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
 
     def matrix(column):
         rows = column.combine_chunks()
-        return rows.flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(len(rows), -1)
+        return rows.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), -1)
 
     def build(key, table):
-        row = _stored(table.column("members").to_pylist(), matrix(table.column("v")))
+        row = _stored(table.column("members").to_pylist(), matrix(table.column("v")), k)
         return pa.Table.from_pylist([{"dim": key[0].as_py(), "shard": key[1].as_py()} | row], schema=pa.schema(
-            [("dim", pa.int32()), ("shard", pa.int32()), ("flat", pa.binary()), ("graph", pa.binary()), ("entry", pa.int64()),
+            [("dim", pa.int32()), ("shard", pa.int32()), ("x", pa.binary()), ("graph", pa.binary()), ("entry", pa.int64()), ("beam", pa.int64()),
              ("ends", pa.binary()), ("ids", pa.binary())]))
 
     graphs = cut(points.groupBy("dim", "shard").applyInArrow(
-        build, "dim int, shard int, flat binary, graph binary, entry long, ends binary, ids binary"))
+        build, "dim int, shard int, x binary, graph binary, entry long, beam long, ends binary, ids binary"))
 
     def run(left, right):
         rows = []
