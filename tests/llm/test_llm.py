@@ -1,9 +1,10 @@
 """The training-data operators against brute force, on sf0.001 and on edge rows."""
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -271,7 +272,7 @@ def test_neighbours_skip_bad_vectors(spark):
 
 
 def test_licences_inherit_from_nearest(spark):
-    mit, gpl = "Released under the MIT License.", licences.TEMPLATES["GPL-3.0"]
+    mit, gpl = "Released under the MIT License.", licences.TEMPLATES["GPL-3.0"][0]
     rows = [("a/LICENSE", mit), ("a/b/LICENSE", gpl), ("a/x.py", "code"), ("a/b/c/y.py", "code"), ("z/q.py", None), (None, "code")]
     got = licences.licences(spark.createDataFrame(rows, "path string, text string"), F.col("path").endswith("LICENSE"))
     by = {r.path: (r.licence, r.how) for r in got.collect()}
@@ -279,6 +280,50 @@ def test_licences_inherit_from_nearest(spark):
     assert by["z/q.py"] == (None, "none") and by["a/b/LICENSE"] == ("GPL-3.0", "own") and by[None] == (None, "none")
 
 
+APACHE = "\n".join([
+    "/*", " * Copyright 2020 Some Body", " *", ' * Licensed under the Apache License, Version 2.0 (the "License");',
+    " * you may not use this file except in compliance with the License.", " * You may obtain a copy of the License at", " *",
+    " *     http://www.apache.org/licenses/LICENSE-2.0", " */", "", "class A {}"])
+GPL = "\n".join([
+    "# This program is free software: you can redistribute it and/or modify", "# it under the terms of the GNU General Public License as published by",
+    "# the Free Software Foundation, either version 3 of the License, or", "# (at your option) any later version.", "", "import os"])
+
+
+def test_licence_texts_headers_and_identifiers(spark):
+    mit = "MIT License\n\nCopyright (c) 2021 A Person\n\n" + licences.TEMPLATES["MIT"][1].replace(", ", ",\n") + "\n\nTHE SOFTWARE IS PROVIDED AS IS\n"
+    rows = [("m/LICENSE", mit), ("m/a.c", "int x;"), ("a/A.java", APACHE), ("g/os.py", GPL), ("s/x.rs", "// SPDX-License-Identifier: Apache-2.0\nfn f() {}"),
+            ("s/y.rs", "// SPDX-License-Identifier: EUPL-1.2\nfn f() {}"), ("p/q.txt", "the licence of the driver was checked at the border\n" * 3),
+            (None, "Released under the MIT License."), ("e/e", ""), ("m/a.c", None)]
+    got = licences.licences(spark.createDataFrame(rows, "path string, text string"), F.col("path").endswith("LICENSE"))
+    by = {r.path: (r.licence, r.how) for r in got.collect()}
+    assert by == {"m/LICENSE": ("MIT", "own"), "m/a.c": ("MIT", "inherited"), "a/A.java": ("Apache-2.0", "own"), "g/os.py": ("GPL-3.0", "own"),
+                  "s/x.rs": ("Apache-2.0", "own"), "s/y.rs": (None, "none"), "p/q.txt": (None, "none"), None: ("MIT", "own"), "e/e": (None, "none")}
+    assert licences.licences(spark.createDataFrame([], "path string, text string"), F.lit(True)).count() == 0
+
+
+def test_licence_cosines_equal_brute_force(spark):
+    docs = read_table(spark, SF, "documents").select(F.col("doc_id").cast("string").alias("path"), "text", F.lit(False).alias("is_file"))
+    found = licences.units(docs).cache()
+    got = {bytes(r.unit): (r.licence, r.cosine) for r in licences.matched(found, 0.6).collect()}
+
+    def tokens(text):
+        return Counter(t for t in re.split(r"[^\w.+-]+|_|[.+-]+(?=[^\w]|_|$)", text.lower()) if t)
+
+    rows = [(bytes(r.unit), tokens(r.line)) for r in found.collect()]
+    df = Counter(t for _, c in rows for t in c)
+    vector = lambda c: {t: n * (math.log((1 + len(rows)) / (1 + df[t])) + 1) for t, n in c.items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    models = [(r.licence, vector(tokens(r.template))) for r in licences._templates(spark).collect()]
+    want = {}
+    for unit, c in rows:
+        v = vector(c)
+        scored = [(-round(sum(v.get(t, 0) * x for t, x in m.items()) / (norm(v) * norm(m)), 6), k) for k, m in models] if v else []
+        if scored and -min(scored)[0] >= 0.6:
+            want[unit] = (min(scored)[1], -min(scored)[0])
+    assert want and got.keys() == want.keys()
+    assert all(got[u][0] == want[u][0] and abs(got[u][1] - want[u][1]) < 2e-6 for u in want)
+
+
 def _apply(spark, d):
     """Every operator on a table; the numbers of rows."""
     w = mixing.weighed(d)
