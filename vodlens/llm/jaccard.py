@@ -401,8 +401,8 @@ def components(links: DataFrame, steps: int | None = None) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id, class, is_first (the row
-    that stands for its component)."""
+    """Per document: doc_id, n_shingles, component_id, class_id (least id with the
+    same shingles, null without any), is_first (the row that stands for its component)."""
     placed = with_position(docs, text)
     size = text_bytes(docs, text)
     rows = cut(_described(placed))
@@ -425,11 +425,11 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
 
     comp = classes.select("class", "first").join(comp, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
     least = comp.groupBy("comp").agg(F.min("first").alias("least"))
-    named = cut(comp.join(least, "comp").select(F.col("class").alias("_class"), "least"))
+    named = cut(comp.join(least, "comp").select(F.col("class").alias("_class"), "first", "least"))
     out = rows.join(named, F.col("class") == F.col("_class"), "left")
     alone = F.col("class").isNull()
     return out.select(
-        "_pos", "doc_id", F.col("n").alias("n_shingles"), "class",
+        "_pos", "doc_id", F.col("n").alias("n_shingles"), F.col("first.doc_id").alias("class_id"),
         F.when(alone, F.col("doc_id")).otherwise(F.col("least.doc_id")).alias("component_id"),
         (alone | (F.col("least._pos") == F.col("_pos"))).alias("is_first"),
     )

@@ -44,7 +44,7 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class")
+    return jaccard.near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
