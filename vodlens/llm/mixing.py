@@ -6,10 +6,12 @@ replacement.  Each document gets the exponential key -ln(u) / quality weight,
 with u a hash of its id, so reruns agree; keys are sorted within the source and
 sizes prefix-summed up to the token budget.
 
-The prefix sum never gathers a source: keys fall into ``KEY_BUCKETS`` buckets,
-bucket sums are prefix-summed, and only the bucket in which the budget ends is
-sorted row by row.  What remains is one cut key per source, which the documents
-are compared with.
+The prefix sum never gathers a source: its range of keys is cut into
+``KEY_BUCKETS`` equal intervals, their sizes are prefix-summed, and the interval
+in which the budget ends is cut again, until it holds at most ``SORTED_ROWS``
+rows or one key only; equal keys are added up and the few left are sorted.  Each
+round reads the rows of one interval a source.  What remains is one cut key per
+source, which the documents are compared with.
 
 Defined results: null, empty and blank texts have size 0 and take 0 words; null
 sources form one source, ordered last; null ids get keys like any other; rows
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from .common import cut, n_words, shield, small, unshield
 
 KEY_BUCKETS = 4096
+SORTED_ROWS = 100_000
 MAX_EPOCHS = 3
 SOURCE_WEIGHTS = (1, 2, 3)  # by code point of the source, null last, repeating
 BROADCAST_SOURCES = 50_000
@@ -66,45 +69,67 @@ def targets(sources: DataFrame, weights=SOURCE_WEIGHTS, most: float = MAX_EPOCHS
     return s.select("source", "source_size", target.alias("target"))
 
 
+def _interval_of_end(keyed: DataFrame, ends: DataFrame) -> DataFrame:
+    """``ends`` (_m_src, _m_rest, _m_lo, _m_hi, _m_before, _m_rows) narrowed to the
+    part of the interval [_m_lo, _m_hi] in which the budget ends; an interval of few
+    rows stays.  ``_m_before`` is the size of what lies below the interval."""
+    k, width = F.col("_m_key.k"), (F.col("_m_hi") - F.col("_m_lo")) / KEY_BUCKETS
+    wide = small(ends.where((F.col("_m_rows") > SORTED_ROWS) & (F.col("_m_lo") < F.col("_m_hi"))), BROADCAST_SOURCES)
+    inside = keyed.join(wide, F.col("source").eqNullSafe(F.col("_m_src")) & k.between(F.col("_m_lo"), F.col("_m_hi")))
+    sums = (
+        inside.withColumn("_m_b", F.when(width > 0, F.floor((k - F.col("_m_lo")) / width)).otherwise(F.lit(0)))
+        .groupBy("_m_src", "_m_b")
+        .agg(F.sum("size").alias("n"), F.count("*").alias("rows"), F.min(k).alias("lo"), F.max(k).alias("hi"),
+             *[F.first(c).alias(c) for c in ("_m_rest", "_m_before")])
+    )
+    upto = Window.partitionBy("_m_src").orderBy("_m_b").rowsBetween(Window.unboundedPreceding, 0)
+    found = sums.withColumn("_m_upto", F.col("_m_before") + F.sum("n").over(upto)).where("_m_upto >= _m_rest and _m_upto - n < _m_rest")
+    found = found.select(
+        "_m_src", "_m_rest", F.col("lo").alias("_m_lo"), F.col("hi").alias("_m_hi"),
+        (F.col("_m_upto") - F.col("n")).alias("_m_before"), F.col("rows").alias("_m_rows"))
+    return found.unionByName(ends.where((F.col("_m_rows") <= SORTED_ROWS) | (F.col("_m_lo") >= F.col("_m_hi"))))
+
+
 def mixture_plan(docs: DataFrame, seed: int = 7) -> DataFrame:
-    """(source, source_size, target, epochs, cut_key): one row per source.
+    """(source, source_size, target, epochs, cut_key, cut_from): one row per source.
 
-    ``docs`` has doc_id, source, size and quality_weight and is read three
+    Rows with a key below ``cut_from`` are selected, and those up to ``cut_key``.
+    ``docs`` has doc_id, source, size and quality_weight and is read several
     times, so it should be cut."""
-    keyed = _keyed(docs.select("doc_id", "source", "size", "quality_weight"), seed)
-    bucket = F.floor(F.lit(KEY_BUCKETS) * (F.lit(1.0) - F.exp(-F.col("_m_key.k")))).cast("int")
-    keyed = keyed.select("source", "size", "_m_key", bucket.alias("_m_b"))
-    sums = cut(keyed.groupBy("source", "_m_b").agg(F.sum("size").alias("n")))
-    sources = targets(sums.groupBy("source").agg(F.sum("n").alias("source_size")))
+    keyed = _keyed(docs.select("doc_id", "source", "size", "quality_weight"), seed).select("source", "size", "_m_key")
+    k = F.col("_m_key.k")
+    counted = cut(keyed.groupBy("source").agg(
+        F.sum("size").alias("source_size"), F.count("*").alias("_m_rows"), F.min(k).alias("_m_lo"), F.max(k).alias("_m_hi")))
+    sources = targets(counted.select("source", "source_size"))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     epochs = F.least(F.floor(ratio + 1e-9), F.lit(MAX_EPOCHS)).cast("int")
     sources = sources.withColumn("epochs", epochs)
     rest = F.greatest(F.col("target") - F.col("epochs") * F.col("source_size"), F.lit(0.0))
     sources = cut(sources.withColumn("_m_rest", rest))
-    per_source = small(sources.select(F.col("source").alias("_m_src"), "_m_rest"), BROADCAST_SOURCES)
-
-    # The bucket in which a source's budget ends, and what lies in those before it.
-    upto = Window.partitionBy("source").orderBy("_m_b").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (
-        sums.withColumn("_m_upto", F.sum("n").over(upto))
-        .join(per_source, F.col("source").eqNullSafe(F.col("_m_src")))
-        .where("_m_rest > 0 and _m_upto >= _m_rest and _m_upto - n < _m_rest")
-        .select("_m_src", "_m_rest", F.col("_m_b").alias("_m_end"), (F.col("_m_upto") - F.col("n")).alias("_m_before"))
-    )
-    ends = small(cut(ends), BROADCAST_SOURCES)
-    last = keyed.join(ends, F.col("source").eqNullSafe(F.col("_m_src")) & (F.col("_m_b") == F.col("_m_end")))
+
+    # The interval of keys in which a source's budget ends, and what lies below it.
+    own = counted.select(F.col("source").alias("_m_src"), "_m_rows", "_m_lo", "_m_hi")
+    ends = cut(
+        sources.where("_m_rest > 0").join(own, F.col("source").eqNullSafe(F.col("_m_src")))
+        .select("_m_src", "_m_rest", "_m_lo", "_m_hi", F.lit(0).cast("long").alias("_m_before"), "_m_rows"))
+    while ends.where((F.col("_m_rows") > SORTED_ROWS) & (F.col("_m_lo") < F.col("_m_hi"))).limit(1).count():
+        ends = cut(_interval_of_end(keyed, ends))
+    ends = small(ends, BROADCAST_SOURCES)
+    last = keyed.join(ends, F.col("source").eqNullSafe(F.col("_m_src")) & k.between(F.col("_m_lo"), F.col("_m_hi")))
+    # Rows of one key stand or fall together: the copies of a row are one step.
+    steps = last.groupBy("_m_src", "_m_key").agg(F.sum("size").alias("n"), *[F.first(c).alias(c) for c in ("_m_rest", "_m_before", "_m_lo")])
     run = Window.partitionBy("_m_src").orderBy("_m_key").rowsBetween(Window.unboundedPreceding, 0)
-    middle = F.col("_m_before") + F.sum("size").over(run) - F.col("size") / 2.0  # nearest whole document
+    middle = F.col("_m_before") + F.sum("n").over(run) - F.col("n") / 2.0  # nearest whole document
     cuts = (
-        last.withColumn("_m_mid", middle)
+        steps.withColumn("_m_mid", middle)
         .groupBy("_m_src").agg(
-            F.max(F.when(F.col("_m_mid") <= F.col("_m_rest"), F.col("_m_key"))).alias("_m_in"),
-            F.first("_m_end").alias("_m_end"),
+            F.max(F.when(F.col("_m_mid") <= F.col("_m_rest"), F.col("_m_key"))).alias("cut_key"),
+            F.first("_m_lo").alias("cut_from"),
         )
     )
     return cut(
         sources.join(cuts, F.col("source").eqNullSafe(F.col("_m_src")), "left")
-        .select("source", "source_size", "target", "epochs", F.col("_m_in").alias("cut_key"), F.col("_m_end").alias("cut_bucket"))
+        .select("source", "source_size", "target", "epochs", "cut_key", "cut_from")
     )
 
 
@@ -112,14 +137,13 @@ def mix(docs: DataFrame, plan: DataFrame, seed: int = 7) -> DataFrame:
     """``docs`` (with size and quality_weight) plus source_size, target, epochs,
     copies and taken words.  One comparison per row: no sort, no shuffle of texts."""
     p = plan.select(F.col("source").alias("_m_src"), "source_size", "target", "epochs",
-                    F.col("cut_key").alias("_m_cut"), F.col("cut_bucket").alias("_m_end"))
+                    F.col("cut_key").alias("_m_cut"), F.col("cut_from").alias("_m_from"))
     own = docs.drop("source_size", "target", "epochs", "copies", "taken")
     j = _keyed(own, seed).join(small(p, BROADCAST_SOURCES), F.col("source").eqNullSafe(F.col("_m_src")), "left")
-    b = F.floor(F.lit(KEY_BUCKETS) * (F.lit(1.0) - F.exp(-F.col("_m_key.k")))).cast("int")
-    chosen = (b < F.col("_m_end")) | ((b == F.col("_m_end")) & (F.col("_m_key") <= F.col("_m_cut")))
-    copies = F.col("epochs") + F.coalesce(chosen, F.lit(False)).cast("int")
+    chosen = F.coalesce(F.col("_m_key.k") < F.col("_m_from"), F.lit(False)) | F.coalesce(F.col("_m_key") <= F.col("_m_cut"), F.lit(False))
+    copies = F.col("epochs") + chosen.cast("int")
     j = j.withColumn("copies", copies).withColumn("taken", F.col("copies") * F.col("size"))
-    return j.drop("_m_key", "_m_src", "_m_cut", "_m_end")
+    return j.drop("_m_key", "_m_src", "_m_cut", "_m_from")
 
 
 def mixed_documents(docs: DataFrame, text: str = "text") -> DataFrame:
